@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
 from .langid import language_report
+from . import mixing, preference, recipes
 from .secrets import secret_report
 from .tokenfiles import token_file_report
 from .topk import top_k
@@ -22,6 +23,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(_table(spark, folder, "documents"))
+
+
 def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings")
     return top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
@@ -31,10 +36,18 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_encode(_table(spark, folder, "documents"), MULTI, public_tokenizers.PATTERN, digests=True)
 
 
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recipes.exact_groups(_table(spark, folder, "documents"))
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_report(_table(spark, folder, "documents"), MULTI)
 
 
+def op7_preference(spark: SparkSession, folder: str) -> DataFrame:
+    return preference.adjacent_pairs(_table(spark, folder, "conversations"))
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_report(_table(spark, folder, "documents"))
 
@@ -52,4 +65,17 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE,
+    "op3_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5""",
+    "op5_exact_dedup": """
+WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS size, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents),
+k AS (SELECT doc_id, norm, first_value(doc_id) OVER (PARTITION BY norm ORDER BY size DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k""",
+    "op7_preference": preference.ORACLE,
+}
