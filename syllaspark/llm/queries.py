@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
 from .langid import language_report
+from .jaccard import near_groups
 from . import mixing, preference, recipes
 from .secrets import secret_report
 from .tokenfiles import token_file_report
@@ -23,6 +24,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(_table(spark, folder, "documents"), width=4, num=85, den=100)
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(_table(spark, folder, "documents"))
 
