@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
 
@@ -82,10 +83,17 @@ class Scratch:
 
 
 def plan_bytes(frame: DataFrame) -> int:
-    """Catalyst's size estimate of a plan: for a scan, the bytes of its files."""
-    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The bytes that a plan reads: Catalyst's estimate for a scan of files, else a measurement."""
+    guess = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if guess < 1 << 50:
+        return guess
+    strings = [F.coalesce(F.octet_length(frame[f.name]), F.lit(0)) for f in frame.schema.fields if f.dataType.typeName() == "string"]
+    total = F.lit(8 * len(frame.columns)).cast("long")
+    for size in strings:
+        total = total + size
+    return int(frame.select(F.sum(total)).first()[0] or 0)
 
 
 def tasks_for(frame: DataFrame, bytes_per_task: int, least: int = 8) -> int:
     """A number of tasks that grows with the input."""
-    return max(least, -(-min(plan_bytes(frame), 1 << 50) // bytes_per_task))
+    return max(least, -(-plan_bytes(frame) // bytes_per_task))
