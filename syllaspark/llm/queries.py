@@ -12,6 +12,7 @@ from .bpe import bpe_encode
 from .langid import language_report
 from .jaccard import near_groups
 from . import mixing, preference, recipes
+from .passages import repeated_passages
 from .secrets import secret_report
 from .tokenfiles import token_file_report
 from .topk import top_k
@@ -57,6 +58,10 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_report(_table(spark, folder, "documents"))
 
 
+def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(_table(spark, folder, "documents"), window=13)
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_report(_table(spark, folder, "documents"), TOKENIZER, public_tokenizers.PATTERN)
 
