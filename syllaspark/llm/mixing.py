@@ -17,6 +17,8 @@ equal id are taken or left together.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +43,6 @@ def _measures(sources: DataFrame, exponents: list[int], total: int, budget: floa
     rows = rows.select("step", share.alias("share"), power.alias("power"))
     got = rows.groupBy("step").agg(F.sum("power").alias("z"), F.sum(F.col("power") * F.ln("power")).alias("zl"), F.max(F.col("power") / F.col("share")).alias("rare"), F.min(F.col("power") / F.col("share")).alias("common")).collect()
     # with weights power / z, entropy is ln z - sum(power ln power) / z; passes are budget * weight / tokens
-    import math
-
     return {r["step"]: (math.log(r["z"]) - r["zl"] / r["z"], (budget / total) * r["rare"] / r["z"] if budget is not None else r["rare"] / r["common"]) for r in got}
 
 
@@ -57,6 +57,58 @@ def _bisect(low: int, high: int, good, measure) -> int:
     return low
 
 
+class Plan:
+    """How often each document is taken: whole passes by source, and the digest that ends the last one."""
+
+    def __init__(self, docs: DataFrame, entropy_share: float, most_passes: float, budget_share: float | None, id_col: str, text_col: str, source_col: str, seed: str):
+        self.id_col, self.source_col, self.seed = id_col, source_col, seed
+        scratch = Scratch(docs.sparkSession, "mixture")
+        self.rows = rows = scratch.save(docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"), self.of(docs).alias("of"), token_count(docs[text_col]).alias("tokens")), "rows")
+        sources = scratch.save(rows.groupBy("of").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")), "sources")
+        head = sources.agg(F.sum("tokens").alias("tokens"), F.count("*").alias("sources"), F.sum((F.col("tokens") > 0).cast("long")).alias("live"), F.sum("n").alias("n")).first()
+        self.small = head["sources"] <= BROADCAST_SOURCES
+        total, live = head["tokens"] or 0, head["live"] or 0
+        if not total:
+            self.cuts = sources.select("of", *[F.lit(0).cast("long").alias(c) for c in ("source_budget", "passes", "rest")], F.lit(None).cast("string").alias("cut"))
+            return
+        budget = None if budget_share is None else budget_share * total
+        measure = lambda tries: _measures(sources, tries, total, budget)
+        target = entropy_share * math.log(live) if live > 1 else 0.0
+        step = _bisect(0, GRID, lambda m: m[0] >= target, measure)
+        if measure([step])[step][1] > most_passes:  # the least exponent within the limit, or 1
+            step = GRID - _bisect(0, GRID - step, lambda m: m[1] <= most_passes, lambda tries: {t: measure([GRID - t for t in tries])[GRID - t] for t in tries})
+        power = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(total)), F.lit(step / GRID))).otherwise(0.0)
+        z, least = sources.agg(F.sum(power), F.min(F.when(F.col("tokens") > 0, power / F.col("tokens")))).first()
+        whole = float(budget) if budget is not None else z / least
+        share = F.floor(power / F.lit(z) * F.lit(whole)).cast("long")
+        plan = sources.select("of", "tokens", (share if budget is not None else F.greatest("tokens", share)).alias("budget"))
+        plan = plan.select("of", F.col("budget").alias("source_budget"), F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).alias("passes"), F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("rest"))
+        plan = scratch.save(plan, "plan")
+
+        digits = 2 + (head["n"] > 10**7) + (head["n"] > 10**9)
+        dealt = rows.join(self.near(plan), "of").withColumn("digest", self.digest(F.col("id"))).withColumn("block", F.substring("digest", 1, digits))
+        blocks = dealt.groupBy("of", "block").agg(F.sum("tokens").alias("tokens"), F.first("rest").alias("rest"))
+        before = F.sum("tokens").over(Window.partitionBy("of").orderBy("block")) - F.col("tokens")
+        edge = blocks.withColumn("before", before).where("before < rest and rest <= before + tokens").select("of", F.col("block").alias("edge"), (F.col("rest") - F.col("before")).alias("need"))
+        edge = scratch.save(edge, "edge")
+        inside = dealt.join(self.near(edge), "of").where("block = edge").groupBy("of", "need", "digest").agg(F.sum("tokens").alias("tokens"))
+        filled = F.sum("tokens").over(Window.partitionBy("of").orderBy("digest"))
+        cuts = inside.withColumn("filled", filled).where("filled >= need").groupBy("of").agg(F.min("digest").alias("cut"))
+        self.cuts = scratch.save(plan.join(cuts, "of", "left"), "cuts")
+
+    def of(self, docs: DataFrame) -> Column:
+        return F.coalesce(F.concat(F.lit("="), docs[self.source_col].cast("string")), F.lit("none"))
+
+    def near(self, frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if self.small else frame
+
+    def digest(self, id_: Column) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(self.seed), F.col("passes").cast("string"), F.coalesce(id_.cast("string"), F.lit("null"))))
+
+    def copies(self, id_: Column) -> Column:
+        return (F.col("passes") + F.coalesce((self.digest(id_) <= F.col("cut")).cast("long"), F.lit(0))).cast("long")
+
+
 def mixture(docs: DataFrame, entropy_share: float = 0.95, most_passes: float = 4.0, budget_share: float | None = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
     """(id, source, n_tokens, source_budget, copies) for every row.
 
@@ -65,46 +117,19 @@ def mixture(docs: DataFrame, entropy_share: float = 0.95, most_passes: float = 4
     The budget is ``budget_share`` times all tokens; None asks for the least budget
     that takes every source whole, so that mixing repeats documents and drops none.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "mixture")
-    source = F.coalesce(F.concat(F.lit("="), docs[source_col].cast("string")), F.lit("none"))
-    rows = scratch.save(docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"), source.alias("of"), token_count(docs[text_col]).alias("tokens")), "rows")
-    sources = scratch.save(rows.groupBy("of").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")), "sources")
-    head = sources.agg(F.sum("tokens").alias("tokens"), F.count("*").alias("sources"), F.sum((F.col("tokens") > 0).cast("long")).alias("live"), F.sum("n").alias("n")).first()
-    total, live = head["tokens"] or 0, head["live"] or 0
-    if not total:
-        return rows.select(F.col("id").alias(id_col), "source", F.col("tokens").alias("n_tokens"), F.lit(0).cast("long").alias("source_budget"), F.lit(0).cast("long").alias("copies"))
-    import math
-
-    budget = None if budget_share is None else budget_share * total
-    measure = lambda tries: _measures(sources, tries, total, budget)
-    target = entropy_share * math.log(live) if live > 1 else 0.0
-    step = _bisect(0, GRID, lambda m: m[0] >= target, measure)
-    if measure([step])[step][1] > most_passes:  # the least exponent within the limit, or 1
-        step = GRID - _bisect(0, GRID - step, lambda m: m[1] <= most_passes, lambda tries: {t: measure([GRID - t for t in tries])[GRID - t] for t in tries})
-    power = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(total)), F.lit(step / GRID))).otherwise(0.0)
-    z, least = sources.agg(F.sum(power), F.min(F.when(F.col("tokens") > 0, power / F.col("tokens")))).first()
-    whole = float(budget) if budget is not None else z / least * (1 + 1e-12)
-    plan = sources.select("of", "tokens", F.floor(power / F.lit(z) * F.lit(whole)).cast("long").alias("budget"))
-    plan = plan.select("of", F.col("budget").alias("source_budget"), F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).alias("passes"), F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("rest"))
-    plan = scratch.save(plan, "plan")
-    small = head["sources"] <= BROADCAST_SOURCES
-    near = (lambda frame: F.broadcast(frame)) if small else (lambda frame: frame)
-
-    digits = 2 + (head["n"] > 10**7) + (head["n"] > 10**9)
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("passes").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
-    dealt = rows.join(near(plan), "of").withColumn("digest", digest).withColumn("block", F.substring("digest", 1, digits))
-    blocks = dealt.groupBy("of", "block").agg(F.sum("tokens").alias("tokens"), F.first("rest").alias("rest"))
-    before = F.sum("tokens").over(Window.partitionBy("of").orderBy("block")) - F.col("tokens")
-    edge = blocks.withColumn("before", before).where("before < rest and rest <= before + tokens").select("of", F.col("block").alias("edge"), (F.col("rest") - F.col("before")).alias("need"))
-    edge = scratch.save(edge, "edge")
-    inside = dealt.join(near(edge), "of").where("block = edge").groupBy("of", "need", "digest").agg(F.sum("tokens").alias("tokens"))
-    filled = F.sum("tokens").over(Window.partitionBy("of").orderBy("digest"))
-    cuts = inside.withColumn("filled", filled).where("filled >= need").groupBy("of").agg(F.min("digest").alias("cut"))
-    cuts = scratch.save(plan.join(cuts, "of", "left"), "cuts")
-    out = rows.join(near(cuts), "of").withColumn("digest", digest)
-    part = F.coalesce((F.col("digest") <= F.col("cut")).cast("long"), F.lit(0))
-    return out.select(F.col("id").alias(id_col), "source", F.col("tokens").alias("n_tokens"), "source_budget", (F.col("passes") + part).cast("long").alias("copies"))
+    plan = Plan(docs, entropy_share, most_passes, budget_share, id_col, text_col, source_col, seed)
+    out = plan.rows.join(plan.near(plan.cuts), "of")
+    return out.select(F.col("id").alias(id_col), "source", F.col("tokens").alias("n_tokens"), "source_budget", plan.copies(F.col("id")).alias("copies"))
+
+
+def mixed(docs: DataFrame, entropy_share: float = 0.95, most_passes: float = 4.0, budget_share: float | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
+    """The realised mixture: each row of ``docs``, all its columns, as often as it is taken.
+
+    A row without tokens is taken as often as its source's whole passes say.
+    """
+    plan = Plan(docs, entropy_share, most_passes, budget_share, id_col, text_col, source_col, seed)
+    rows = docs.select(plan.of(docs).alias("of"), F.struct(*[docs[c] for c in docs.columns]).alias("row")).join(plan.near(plan.cuts), "of")
+    return rows.withColumn("copies", plan.copies(F.col("row")[id_col])).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("row.*")
 
 
 #: The same with one window over each source instead of blocks.
