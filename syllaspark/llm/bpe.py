@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .mapping import map_text
-from .pieces import Units
+from .pieces import Units, kept
 
 NONE = np.int32(2**31 - 1)
 #: Pieces of more bytes are merged one by one with a heap; the result is the same.
@@ -187,8 +187,11 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     """
 
     def make():
-        bpe = MatrixBpe(read_ranks(rank_file))
-        units = Units(pattern, bpe.encode_pieces)
+        def tools():
+            bpe = MatrixBpe(read_ranks(rank_file))
+            return bpe, Units(pattern, bpe.encode_pieces)
+
+        bpe, units = kept(("bpe", rank_file, pattern), tools)
 
         def f(column, _buf, _offs):
             flat, per = units.ids(["" if t is None else t for t in column.to_pylist()])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch, ship, tasks_for
 from .arrays import slices
-from .pieces import Units
+from .pieces import Units, kept
 
 MAGIC = b"SYLTOK01"
 #: Ids in one file, at least, before the next is begun.
@@ -94,15 +94,18 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
         from pyarrow import fs
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        tokenizer.encode_special_tokens = True
+        def tools():
+            tokenizer = Tokenizer.from_file(tokenizer_file)
+            tokenizer.encode_special_tokens = True
 
-        def encode(pieces):
-            rows = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            size = np.fromiter(map(len, rows), np.int64, len(rows))
-            return np.fromiter((i for r in rows for i in r), np.int32, int(size.sum())), size
+            def encode(pieces):
+                rows = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+                size = np.fromiter(map(len, rows), np.int64, len(rows))
+                return np.fromiter((i for r in rows for i in r), np.int32, int(size.sum())), size
 
-        units = Units(pattern, encode)
+            return Units(pattern, encode)
+
+        units = kept(("library", tokenizer_file, pattern), tools)
         store, base = fs.FileSystem.from_uri(folder)
         part, done = TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
