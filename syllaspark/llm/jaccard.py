@@ -14,8 +14,9 @@ whose sets overlap by a given Jaccard share, the components that the links form.
    and the node's upper corner; only sets under nodes that could reach the needed
    overlap are verified, element by element.  Sets already connected are passed by.
 3. Large components.  One with more sets than a page is first thinned by verifying
-   its stars, whose centres several priorities choose.  What is left unconnected is
-   joined page against page with the same trees, so that no task holds a component.
+   its stars, whose centres several priorities choose.  Sets that share a range and
+   are still unconnected are joined with the same trees, page against page where
+   many share it, so that no task holds a component.
 
 Rows: one output row per input row with an id.  A null or empty text, or one of
 white space, has no shingle and links with nothing.  A text with fewer words than a
@@ -112,8 +113,8 @@ class Ranges:
         return np.concatenate(out)
 
 
-def _centred(keys: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, their centres, edge ends, edge centres): a star over the sets of each key.
+def _centred(keys: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, their centres, edges): a star over the sets of each key, as rows of set, centre and key.
 
     One of four priorities, which the key picks, chooses the centre: the sets of a
     component meet the same few centres again and again, yet more than one.
@@ -124,8 +125,8 @@ def _centred(keys: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
     centre = sets[np.flatnonzero(new)][np.cumsum(new) - 1] if len(keys) else sets
     edge = sets != centre
-    pairs = np.unique(np.column_stack([sets[edge], centre[edge]]), axis=0) if edge.any() else np.zeros((0, 2), U)
-    return keys[new], centre[new], pairs[:, 0], pairs[:, 1]
+    edge &= new | np.append(True, sets[1:] != sets[:-1]) if len(keys) else edge  # equal sets of a key lie together
+    return keys[new], centre[new], np.column_stack([sets[edge], centre[edge], keys[edge]])
 
 
 def _send(width: int, num: int, den: int, buckets: int):
@@ -144,9 +145,9 @@ def _send(width: int, num: int, den: int, buckets: int):
         def flush():
             keys, sets = np.concatenate([k for k, _ in held]), np.concatenate([np.full(len(k), s, U) for k, s in held])
             held.clear()
-            keys, centres, a, b = _centred(keys, sets)
+            keys, centres, edges = _centred(keys, sets)
             yield rows(0, keys % U(buckets), [keys, centres])
-            yield rows(1, mix(a ^ mix(b)) % U(buckets), [a, b])
+            yield rows(1, edges[:, 2] % U(buckets), list(edges.T))
 
         for batch in batches:
             ids = np.array(batch.column(0), np.int64)
@@ -169,15 +170,14 @@ def _send(width: int, num: int, den: int, buckets: int):
 
 
 def _receive(batches):
-    """Reduce side: (kind, a, b, c) with edges (1: set, centre) and documents (2: id, size, set)."""
+    """Reduce side: (kind, a, b, c) with edges (1: set, centre, key) and documents (2: id, size, set)."""
 
     def finish(keys, edges):
-        found = [np.frombuffer(p, U).reshape(-1, 2) for p in edges]
+        found = [np.frombuffer(p, U).reshape(-1, 3) for p in edges]
         if keys:
             table = np.concatenate([np.frombuffer(p, U).reshape(-1, 2) for p in keys])
-            found.append(np.column_stack(_centred(table[:, 0], table[:, 1])[2:]))
-        both = np.unique(np.concatenate(found), axis=0).view(np.int64) if found else np.zeros((0, 2), np.int64)
-        return out(1, [both[:, 0], both[:, 1], np.zeros(len(both), np.int64)])
+            found.append(_centred(table[:, 0], table[:, 1])[2])
+        return out(1, list(np.unique(np.concatenate(found), axis=0).view(np.int64).T))
 
     def out(kind, columns):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=["kind", "a", "b", "c"])
@@ -320,7 +320,7 @@ def near_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     sent = plain.mapInArrow(_send(width, num, den, buckets), "bucket long, kind int, payload binary")
     got = scratch.save(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_receive, "kind int, a long, b long, c long"), "shards")
     members = got.where("kind = 2").select(F.col("a").alias("id"), F.col("b").alias("n"), F.col("c").alias("node"))
-    edges = got.where("kind = 1").select("a", "b")
+    edges = got.where("kind = 1").select("a", "b", F.col("c").alias("key"))
 
     if edges.limit(1).collect():
         classes = _classes(plain, members, edges, scratch, width, num, den, tasks)
@@ -363,7 +363,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     """(node, class) in components of more sets than a page."""
     sets = sets.select("node", "elements").dropDuplicates(["node"])
     sets = scratch.save(sets, "large-sets")
-    stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").distinct(), "stars")
+    stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").select("a", "b", "key"), "stars")
 
     def verify(batches):
         for batch in batches:
@@ -371,19 +371,24 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
             yield _pairs([(i, j) for i, j, s, t in zip(a, b, x, y) if links(np.frombuffer(s, U), np.frombuffer(t, U), num, den)], ("a", "b"))
 
     named = lambda n, e: sets.select(F.col("node").alias(n), F.col("elements").alias(e))
-    held = scratch.save(stars.join(named("a", "x"), "a").join(named("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
+    held = scratch.save(stars.select("a", "b").distinct().join(named("a", "x"), "a").join(named("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
     marked = nodes.withColumn("label", F.col("node"))
     if held.limit(1).collect():
         labels = connected_components(held, scratch)
         marked = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     marked = scratch.save(marked, "marked")
 
-    # what is still apart: pages of the labels other than a component's most common one, against all pages
-    counts = scratch.save(marked.groupBy("comp", "label").agg(F.count("*").alias("n")), "counts")
-    comps = scratch.save(counts.groupBy("comp").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("labels")).where("labels > 1").select("comp", F.col("top.label").alias("major"), F.ceil((F.col("n") - F.col("top.n")) / PAGE).cast("int").alias("minor_pages"), F.ceil(F.col("top.n") / PAGE).cast("int").alias("major_pages")), "apart")
-    if not comps.limit(1).collect():
+    # What is still apart is compared key by key, for sets that link share a key: pages of
+    # the labels other than the key's most common one, against all its pages.
+    held_by = stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct()
+    held_by = scratch.save(held_by.join(marked.select("node", "label"), "node"), "held-by")
+    mixed = scratch.save(held_by.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key"), "mixed")
+    if not mixed.limit(1).collect():
         return marked.select("node", F.col("label").alias("class"))
-    paged = marked.join(comps, "comp").withColumn("is_major", F.col("label") == F.col("major"))
+    held_by = scratch.save(held_by.join(mixed, "key"), "held-apart")
+    counts = held_by.groupBy("key", "label").agg(F.count("*").alias("n"))
+    groups = scratch.save(counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n")).select("key", F.col("top.label").alias("major"), F.ceil((F.col("n") - F.col("top.n")) / PAGE).cast("int").alias("minor_pages"), F.ceil(F.col("top.n") / PAGE).cast("int").alias("major_pages")), "groups")
+    paged = held_by.join(groups, "key").withColumn("is_major", F.col("label") == F.col("major"))
     pages = F.when(F.col("is_major"), F.col("major_pages")).otherwise(F.col("minor_pages"))
     paged = paged.withColumn("page", F.pmod(F.xxhash64("node"), pages).cast("int")).join(sets, "node")
     upto = lambda last: F.sequence(F.lit(0), last)
@@ -391,7 +396,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     as_right_minor = F.transform(F.filter(upto(F.col("page")), lambda i: i < F.col("page")), lambda i: F.struct(i.alias("i"), F.lit(False).alias("m"), F.col("page").alias("j"), F.lit(1).alias("side")))
     as_right_major = F.transform(upto(F.col("minor_pages") - 1), lambda i: F.struct(i.alias("i"), F.lit(True).alias("m"), F.col("page").alias("j"), F.lit(1).alias("side")))
     to = F.when(F.col("is_major"), as_right_major).otherwise(F.concat(as_left, as_right_minor))
-    dealt = paged.select("comp", "node", "label", "elements", F.explode(to).alias("t")).select(F.concat_ws(":", "comp", "t.i", F.col("t.m").cast("string"), "t.j").alias("pair"), "t.side", (~F.col("t.m") & (F.col("t.i") == F.col("t.j"))).alias("own"), "label", "elements")
+    dealt = paged.select("key", "node", "label", "elements", F.explode(to).alias("t")).select(F.concat_ws(":", "key", "t.i", F.col("t.m").cast("string"), "t.j").alias("pair"), "t.side", (~F.col("t.m") & (F.col("t.i") == F.col("t.j"))).alias("own"), "label", "elements")
 
     def join(batches):
         for _, rows in _by_key(batches, "pair"):
