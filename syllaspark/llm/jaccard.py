@@ -36,7 +36,7 @@ from ..session import Scratch, ship, tasks_for
 from .arrays import SLICE_BYTES, U, chained, mix, slices, span_hashes, words
 from .components import connected_components
 
-GROUPS = 64
+GROUPS = 256
 #: Sets that one task joins at most on either side.
 PAGE = 64
 #: Up to this many candidate ids are broadcast to pick their texts; more are joined by a shuffle.
@@ -243,35 +243,30 @@ def links(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 def counted(sets: list[np.ndarray]) -> np.ndarray:
-    return np.array([np.bincount((s >> U(58)).astype(np.int64), minlength=GROUPS) for s in sets], np.int64).reshape(-1, GROUPS)
+    return np.array([np.bincount((s >> U(56)).astype(np.int64), minlength=GROUPS) for s in sets], np.int64).reshape(-1, GROUPS)
 
 
-def tree_join(left: list[np.ndarray], right: list[np.ndarray] | None, labels_left, labels_right, num: int, den: int) -> list[tuple[int, int]]:
-    """Pairs (place in left, place in right) that link and connect what wasn't connected; right None: within left."""
+def near_points(left, right, sizes_left, sizes_right, labels_left, labels_right, num: int, den: int):
+    """(place in left, places in right, best bound first) of what may link across labels; right None: within left, once."""
     own = right is None
     if own:
-        right, labels_right = left, labels_left
-    if not left or not right:
-        return []
-    parent: dict = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    tree = CountTree(counted(right), np.array([len(s) for s in right]))
-    points, out = counted(left), []
-    for i, s in enumerate(left):
-        for j in tree.search(points[i], len(s), num, den)[0].tolist():
-            if own and j >= i:
-                continue
-            x, y = root(labels_left[i]), root(labels_right[j])
-            if x != y and links(s, right[j], num, den):
-                parent[x] = y
-                out.append((i, j))
-    return out
+        right, sizes_right, labels_right = left, sizes_left, labels_left
+    tree = CountTree(right, sizes_right)
+    for i in range(len(left)):
+        at = tree.search(left[i], int(sizes_left[i]), num, den)[0]
+        at = at[labels_right[at] != labels_left[i]]
+        yield i, at[at < i] if own else at
+
+
+def tree_join(sets: list[np.ndarray], num: int, den: int) -> list[int]:
+    """For each set the least place that links connect it with."""
+    sizes, root = np.array([len(s) for s in sets]), list(range(len(sets)))
+    for i, near in near_points(counted(sets), None, sizes, None, np.arange(len(sets)), None, num, den):
+        for j in near.tolist():
+            a, b = root[i], root[j]
+            if a != b and links(sets[i], sets[j], num, den):
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    return root
 
 
 def _sets_of(width: int):
@@ -346,10 +341,7 @@ def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFram
     def small(batches):
         for _, rows in _by_key(batches, "comp"):
             found = [np.frombuffer(r["elements"], U) for r in rows]
-            root = list(range(len(rows)))
-            for i, j in tree_join(found, None, root, None, num, den):
-                a, b = root[i], root[j]
-                root = [min(a, b) if x in (a, b) else x for x in root]
+            root = tree_join(found, num, den)
             yield _pairs([(r["node"], rows[k]["node"]) for r, k in zip(rows, root)], ("node", "class"))
 
     little = sets.where(F.col("size") <= PAGE).repartition(tasks, "comp").sortWithinPartitions("comp").mapInArrow(small, "node long, class long")
@@ -361,25 +353,46 @@ def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFram
 
 def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     """(node, class) in components of more sets than a page."""
-    sets = sets.select("node", "elements").dropDuplicates(["node"])
-    sets = scratch.save(sets, "large-sets")
-    stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").select("a", "b", "key"), "stars")
+    sets = scratch.save(sets.select("node", "elements").dropDuplicates(["node"]), "large-sets")
+
+    def to_points(batches):
+        for batch in batches:
+            found = [np.frombuffer(x.as_py(), U) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([row.astype("<u4").tobytes() for row in counted(found)], pa.binary())], names=["node", "n", "point"])
+
+    points = scratch.save(sets.mapInArrow(to_points, "node long, n long, point binary"), "points")
+
+    def bounded(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, GROUPS) for k in (3, 5))
+            n = np.array(batch.column(2)) + np.array(batch.column(4))
+            ok = (num + den) * np.minimum(x, y).sum(axis=1, dtype=np.int64) >= num * n
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
     def verify(batches):
         for batch in batches:
             a, b, x, y = batch.to_pydict().values()
             yield _pairs([(i, j) for i, j, s, t in zip(a, b, x, y) if links(np.frombuffer(s, U), np.frombuffer(t, U), num, den)], ("a", "b"))
 
-    named = lambda n, e: sets.select(F.col("node").alias(n), F.col("elements").alias(e))
-    held = scratch.save(stars.select("a", "b").distinct().join(named("a", "x"), "a").join(named("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "links")
+    def verified(pairs):
+        """The pairs that link, element by element; the sets of a pair meet only if their points allow it."""
+        named = lambda table, n, *more: table.select(F.col("node").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in more])
+        met = pairs.join(named(points, "a", "n", "point"), "a").join(named(points, "b", "n", "point"), "b")
+        met = scratch.save(met.select("a", "b", "n_a", "point_a", "n_b", "point_b").mapInArrow(bounded, "a long, b long"), "bounded")
+        met = met.join(named(sets, "a", "elements"), "a").join(named(sets, "b", "elements"), "b")
+        return scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(verify, "a long, b long"), "links")
+
+    stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").select("a", "b", "key"), "stars")
+    held = verified(stars.select("a", "b").distinct())
     marked = nodes.withColumn("label", F.col("node"))
     if held.limit(1).collect():
         labels = connected_components(held, scratch)
         marked = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     marked = scratch.save(marked, "marked")
 
-    # What is still apart is compared key by key, for sets that link share a key: pages of
-    # the labels other than the key's most common one, against all its pages.
+    # What is still apart is compared key by key, for sets that link share a key: in one
+    # page where few share it, else pages of the labels other than the key's most common
+    # one against all its pages.
     held_by = stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct()
     held_by = scratch.save(held_by.join(marked.select("node", "label"), "node"), "held-by")
     mixed = scratch.save(held_by.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key"), "mixed")
@@ -387,30 +400,36 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
         return marked.select("node", F.col("label").alias("class"))
     held_by = scratch.save(held_by.join(mixed, "key"), "held-apart")
     counts = held_by.groupBy("key", "label").agg(F.count("*").alias("n"))
-    groups = scratch.save(counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n")).select("key", F.col("top.label").alias("major"), F.ceil((F.col("n") - F.col("top.n")) / PAGE).cast("int").alias("minor_pages"), F.ceil(F.col("top.n") / PAGE).cast("int").alias("major_pages")), "groups")
-    paged = held_by.join(groups, "key").withColumn("is_major", F.col("label") == F.col("major"))
-    pages = F.when(F.col("is_major"), F.col("major_pages")).otherwise(F.col("minor_pages"))
-    paged = paged.withColumn("page", F.pmod(F.xxhash64("node"), pages).cast("int")).join(sets, "node")
+    groups = scratch.save(counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n")).select("key", F.when(F.col("n") > PAGE, F.col("top.label")).alias("major"), F.ceil((F.col("n") - F.col("top.n")) / PAGE).cast("int").alias("minor_pages"), F.ceil(F.col("top.n") / PAGE).cast("int").alias("major_pages")), "groups")
+    paged = held_by.join(groups, "key").withColumn("is_major", F.col("label").eqNullSafe(F.col("major")))
+    pages = F.when(F.col("is_major"), F.col("major_pages")).when(F.col("major").isNotNull(), F.col("minor_pages")).otherwise(1)
+    paged = paged.withColumn("page", F.pmod(F.xxhash64("node"), pages).cast("int")).join(points, "node")
     upto = lambda last: F.sequence(F.lit(0), last)
-    as_left = F.when(~F.col("is_major"), F.concat(F.transform(F.sequence(F.col("page"), F.col("minor_pages") - 1), lambda j: F.struct(F.col("page").alias("i"), F.lit(False).alias("m"), j.alias("j"), F.lit(0).alias("side"))), F.transform(upto(F.col("major_pages") - 1), lambda j: F.struct(F.col("page").alias("i"), F.lit(True).alias("m"), j.alias("j"), F.lit(0).alias("side")))))
-    as_right_minor = F.transform(F.filter(upto(F.col("page")), lambda i: i < F.col("page")), lambda i: F.struct(i.alias("i"), F.lit(False).alias("m"), F.col("page").alias("j"), F.lit(1).alias("side")))
-    as_right_major = F.transform(upto(F.col("minor_pages") - 1), lambda i: F.struct(i.alias("i"), F.lit(True).alias("m"), F.col("page").alias("j"), F.lit(1).alias("side")))
-    to = F.when(F.col("is_major"), as_right_major).otherwise(F.concat(as_left, as_right_minor))
-    dealt = paged.select("key", "node", "label", "elements", F.explode(to).alias("t")).select(F.concat_ws(":", "key", "t.i", F.col("t.m").cast("string"), "t.j").alias("pair"), "t.side", (~F.col("t.m") & (F.col("t.i") == F.col("t.j"))).alias("own"), "label", "elements")
+    spot = lambda i, m, j, side: F.struct(i.alias("i"), F.lit(m).alias("m"), j.alias("j"), F.lit(side).alias("side"))
+    page = F.col("page")
+    as_left = F.concat(F.transform(F.sequence(page, F.col("minor_pages") - 1), lambda j: spot(page, False, j, 0)), F.transform(upto(F.col("major_pages") - 1), lambda j: spot(page, True, j, 0)))
+    as_right = F.transform(F.filter(upto(page), lambda i: i < page), lambda i: spot(i, False, page, 1))
+    to = F.when(F.col("major").isNull(), F.array(spot(page, False, page, 0))).when(F.col("is_major"), F.transform(upto(F.col("minor_pages") - 1), lambda i: spot(i, True, page, 1))).otherwise(F.concat(as_left, as_right))
+    dealt = paged.select("key", "node", "label", "n", "point", F.explode(to).alias("t")).select(F.concat_ws(":", "key", "t.i", F.col("t.m").cast("string"), "t.j").alias("pair"), "t.side", (~F.col("t.m") & (F.col("t.i") == F.col("t.j"))).alias("own"), "node", "label", "n", "point")
 
     def join(batches):
         for _, rows in _by_key(batches, "pair"):
             sides = [[r for r in rows if r["side"] == k] for k in (0, 1)]
-            found = [[np.frombuffer(r["elements"], U) for r in side] for side in sides]
-            label = [[r["label"] for r in side] for side in sides]
+            grids = [np.frombuffer(b"".join(r["point"] for r in side), "<u4").reshape(-1, GROUPS).astype(np.int64) for side in sides]
+            sizes, label = ([np.array([r[c] for r in side], np.int64) for side in sides] for c in ("n", "label"))
             if rows[0]["own"]:
-                got = [(label[0][i], label[0][j]) for i, j in tree_join(found[0], None, label[0], None, num, den)]
+                sides[1], near = sides[0], near_points(grids[0], None, sizes[0], None, label[0], None, num, den)
+            elif not sides[0] or not sides[1]:
+                continue
             else:
-                got = [(label[0][i], label[1][j]) for i, j in tree_join(found[0], found[1], label[0], label[1], num, den)]
-            yield _pairs(got, ("a", "b"))
+                near = near_points(grids[0], grids[1], sizes[0], sizes[1], label[0], label[1], num, den)
+            yield _pairs([(min(x, y), max(x, y)) for i, at in near for x, y in ((sides[0][i]["node"], sides[1][j]["node"]) for j in at.tolist())], ("a", "b"))
 
-    more = scratch.save(dealt.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(join, "a long, b long"), "more")
+    near = dealt.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(join, "a long, b long").distinct()
+    more = verified(scratch.save(near, "near"))
     if not more.limit(1).collect():
         return marked.select("node", F.col("label").alias("class"))
+    label = lambda n: marked.select(F.col("node").alias(n), F.col("label").alias(f"label_{n}"))
+    more = more.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
     merged = connected_components(more, scratch).select(F.col("node").alias("label"), F.col("label").alias("class"))
     return marked.join(merged, "label", "left").select("node", F.coalesce("class", "label").alias("class"))
