@@ -16,6 +16,7 @@ back as null.  Columns other than id and text are not read.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -98,10 +99,28 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
             tokenizer = Tokenizer.from_file(tokenizer_file)
             tokenizer.encode_special_tokens = True
 
-            def encode(pieces):
-                rows = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            def plain(texts):
+                rows = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
                 size = np.fromiter(map(len, rows), np.int64, len(rows))
-                return np.fromiter((i for r in rows for i in r), np.int32, int(size.sum())), size
+                return np.fromiter(chain.from_iterable(rows), np.int32, int(size.sum())), size
+
+            lead = np.array([t.startswith("Ġ") for _, t in sorted((i, t) for t, i in tokenizer.get_vocab().items())])
+
+            def encode(pieces):
+                """Words after a space go to the library many at a time: the ids that begin with a space part them again."""
+                word = np.fromiter((p[0] == " " and p[1:].isalpha() for p in pieces), bool, len(pieces))
+                words, rest = np.flatnonzero(word), np.flatnonzero(~word)
+                many = [pieces[k] for k in words.tolist()]
+                a, _ = plain(["".join(many[k : k + 64]) for k in range(0, len(many), 64)])
+                b, b_size = plain([pieces[k] for k in rest.tolist()])
+                begin = np.flatnonzero(lead[a])
+                assert len(begin) == len(many)
+                size = np.zeros(len(pieces), np.int64)
+                size[words], size[rest] = np.diff(np.append(begin, len(a))), b_size
+                start = np.zeros(len(pieces), np.int64)
+                start[words], start[rest] = begin, len(a) + np.cumsum(b_size) - b_size
+                ends = np.cumsum(size)
+                return np.append(a, b)[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], size
 
             return Units(pattern, encode)
 
