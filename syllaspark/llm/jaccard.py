@@ -27,6 +27,8 @@ Elements and sets are told apart by 64-bit hashes.  Other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +41,8 @@ from .components import connected_components
 GROUPS = 256
 #: Sets that one task joins at most on either side.
 PAGE = 64
+#: Rounds of stars with other centres for keys of more sets than a page, before what is apart is compared in full.
+THINNING = 2
 #: Up to this many candidate ids are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 300_000
 #: (key, set) entries that a map task combines before it sends them on.
@@ -242,6 +246,20 @@ def links(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * same >= num * (len(a) + len(b) - same)
 
 
+#: A group's count from here on is kept as this, and reads as more than any set has.
+MOST = 65_535
+
+
+def to_point(counts: np.ndarray) -> bytes:
+    return np.minimum(counts, MOST).astype("<u2").tobytes()
+
+
+def from_points(raw: list[bytes]) -> np.ndarray:
+    points = np.frombuffer(b"".join(raw), "<u2").reshape(-1, GROUPS).astype(np.int64)
+    points[points == MOST] = 1 << 40
+    return points
+
+
 def counted(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([np.bincount((s >> U(56)).astype(np.int64), minlength=GROUPS) for s in sets], np.int64).reshape(-1, GROUPS)
 
@@ -358,15 +376,16 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     def to_points(batches):
         for batch in batches:
             found = [np.frombuffer(x.as_py(), U) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([row.astype("<u4").tobytes() for row in counted(found)], pa.binary())], names=["node", "n", "point"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([to_point(row) for row in counted(found)], pa.binary())], names=["node", "n", "point"])
 
+    sizes = scratch.save(sets.select("node", (F.octet_length("elements") / 8).cast("long").alias("n")), "set-sizes")
     points = scratch.save(sets.mapInArrow(to_points, "node long, n long, point binary"), "points")
 
     def bounded(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, GROUPS) for k in (3, 5))
+            x, y = (from_points(batch.column(k).to_pylist()) for k in (3, 5))
             n = np.array(batch.column(2)) + np.array(batch.column(4))
-            ok = (num + den) * np.minimum(x, y).sum(axis=1, dtype=np.int64) >= num * n
+            ok = (num + den) * np.minimum(x, y).sum(axis=1) >= num * n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
     def verify(batches):
@@ -375,30 +394,44 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
             yield _pairs([(i, j) for i, j, s, t in zip(a, b, x, y) if links(np.frombuffer(s, U), np.frombuffer(t, U), num, den)], ("a", "b"))
 
     def verified(pairs):
-        """The pairs that link, element by element; the sets of a pair meet only if their points allow it."""
+        """The pairs that link, element by element; points meet only if sizes allow it, and sets if points do."""
         named = lambda table, n, *more: table.select(F.col("node").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in more])
-        met = pairs.join(named(points, "a", "n", "point"), "a").join(named(points, "b", "n", "point"), "b")
+        met = pairs.join(named(sizes, "a", "n"), "a").join(named(sizes, "b", "n"), "b")
+        met = scratch.save(met.where((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)), "sized")
+        met = met.join(named(points, "a", "point"), "a").join(named(points, "b", "point"), "b")
         met = scratch.save(met.select("a", "b", "n_a", "point_a", "n_b", "point_b").mapInArrow(bounded, "a long, b long"), "bounded")
         met = met.join(named(sets, "a", "elements"), "a").join(named(sets, "b", "elements"), "b")
         return scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(verify, "a long, b long"), "links")
 
     stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").select("a", "b", "key"), "stars")
-    held = verified(stars.select("a", "b").distinct())
-    marked = nodes.withColumn("label", F.col("node"))
-    if held.limit(1).collect():
-        labels = connected_components(held, scratch)
-        marked = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    marked = scratch.save(marked, "marked")
-
-    # What is still apart is compared key by key, for sets that link share a key: in one
-    # page where few share it, else pages of the labels other than the key's most common
-    # one against all its pages.
+    marked = _relabelled(nodes.select("node", F.col("node").alias("label")), verified(stars.select("a", "b").distinct()), scratch)
+
+    # What is still apart is compared key by key, for sets that link share a key, and size
+    # by size: a set goes into its own cell of sizes and the next, and links reach no further.
+    cell = F.floor(F.ln(F.col("n")) / F.lit(math.log(den / num) * 1.000001))
     held_by = stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct()
-    held_by = scratch.save(held_by.join(marked.select("node", "label"), "node"), "held-by")
-    mixed = scratch.save(held_by.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key"), "mixed")
-    if not mixed.limit(1).collect():
-        return marked.select("node", F.col("label").alias("class"))
-    held_by = scratch.save(held_by.join(mixed, "key"), "held-apart")
+    held_by = held_by.join(sizes, "node").select("node", F.explode(F.array(cell, cell + 1)).alias("cell"), "key")
+    held_by = scratch.save(held_by.select(F.xxhash64("key", "cell").alias("key"), "node"), "held-by")
+    for turn in range(THINNING + 1):
+        apart = scratch.save(held_by.join(marked, "node"), "labelled")
+        mixed = scratch.save(apart.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")).where("low <> high").select("key", "many"), "mixed")
+        if not mixed.limit(1).collect():
+            return marked.select("node", F.col("label").alias("class"))
+        apart = scratch.save(apart.join(mixed, "key"), "apart")
+        many = apart.where(F.col("many") > PAGE)
+        if turn == THINNING or not many.limit(1).collect():
+            break
+        centre = many.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn), F.pmod("key", F.lit(4))).alias("h"), "node", "label")).alias("c"))
+        centre = scratch.save(centre.select("key", F.col("c.node").alias("b"), F.col("c.label").alias("other")), "centres")
+        more = many.join(centre, "key").where("label <> other").select(F.col("node").alias("a"), "b").distinct()
+        found = verified(more)
+        if not found.limit(1).collect():
+            break
+        marked = _relabelled(marked, found, scratch)
+
+    # In one page where few share a key, else pages of the labels other than the key's most
+    # common one against all its pages.
+    held_by = apart
     counts = held_by.groupBy("key", "label").agg(F.count("*").alias("n"))
     groups = scratch.save(counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n")).select("key", F.when(F.col("n") > PAGE, F.col("top.label")).alias("major"), F.ceil((F.col("n") - F.col("top.n")) / PAGE).cast("int").alias("minor_pages"), F.ceil(F.col("top.n") / PAGE).cast("int").alias("major_pages")), "groups")
     paged = held_by.join(groups, "key").withColumn("is_major", F.col("label").eqNullSafe(F.col("major")))
@@ -415,7 +448,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     def join(batches):
         for _, rows in _by_key(batches, "pair"):
             sides = [[r for r in rows if r["side"] == k] for k in (0, 1)]
-            grids = [np.frombuffer(b"".join(r["point"] for r in side), "<u4").reshape(-1, GROUPS).astype(np.int64) for side in sides]
+            grids = [from_points([r["point"] for r in side]) for side in sides]
             sizes, label = ([np.array([r[c] for r in side], np.int64) for side in sides] for c in ("n", "label"))
             if rows[0]["own"]:
                 sides[1], near = sides[0], near_points(grids[0], None, sizes[0], None, label[0], None, num, den)
@@ -427,9 +460,15 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
 
     near = dealt.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(join, "a long, b long").distinct()
     more = verified(scratch.save(near, "near"))
-    if not more.limit(1).collect():
-        return marked.select("node", F.col("label").alias("class"))
+    return _relabelled(marked, more, scratch).select("node", F.col("label").alias("class"))
+
+
+def _relabelled(marked: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, label) after links between nodes join their labels."""
     label = lambda n: marked.select(F.col("node").alias(n), F.col("label").alias(f"label_{n}"))
-    more = more.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    merged = connected_components(more, scratch).select(F.col("node").alias("label"), F.col("label").alias("class"))
-    return marked.join(merged, "label", "left").select("node", F.coalesce("class", "label").alias("class"))
+    edges = links.join(label("a"), "a").join(label("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    edges = scratch.save(edges.where("a <> b").distinct(), "label-links")
+    if edges.limit(1).collect():
+        merged = connected_components(edges, scratch).select(F.col("node").alias("label"), F.col("label").alias("least"))
+        marked = marked.join(merged, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+    return scratch.save(marked, "marked")
