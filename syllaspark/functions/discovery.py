@@ -51,7 +51,7 @@ def discover_links(pages: DataFrame) -> DataFrame:
     ``pages`` has the code and its listing page as ``html``.
     """
     rows = pages.select(CODE, F.posexplode(links(F.col("html"))).alias("_at", "_link"))
-    tail = F.substring_index(F.col("_link.href"), F.concat(F.lit("/emne/"), F.col(CODE), F.lit("/")), -1)
+    tail = F.element_at(F.split(F.col("_link.href"), F.concat(F.lit("/emne/\\Q"), F.col(CODE), F.lit("\\E/"))), -1)
     rows = rows.where(F.col("_link.href").contains(F.concat(F.lit("/emne/"), F.col(CODE), F.lit("/"))) & tail.rlike(r"^\d"))
     year, season = link_term(F.col("_link.text"))
     return rows.select(CODE, year.alias(YEAR), season.alias(SEASON), F.concat(F.lit(HIVOLDA), "_link.href").alias("url"), "_at").where(F.col(YEAR).isNotNull())

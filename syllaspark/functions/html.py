@@ -36,6 +36,10 @@ CLOSES = {
 ENDS_P = BLOCK - {"option", "optgroup", "legend", "tr", "tbody", "thead", "tfoot"} | SPACED
 
 
+#: Stands for a blank of preformatted text while white space is collapsed.
+KEPT = "\x01"
+
+
 class Node:
     __slots__ = ("tag", "attrs", "parent", "kids", "place")
 
@@ -182,7 +186,7 @@ def text_of(node: Node) -> str:
 
     def put(x, pre: bool) -> None:
         if isinstance(x, str):
-            out.append(x if pre else re.sub(r"[ \t\r\n\f]+", " ", x))
+            out.append(x.replace(" ", KEPT) if pre else re.sub(r"[ \t\r\n\f]+", " ", x))
             return
         if x.tag in SILENT and x is not node:
             return
@@ -216,7 +220,7 @@ def text_of(node: Node) -> str:
     text = "".join(pieces)
     text = re.sub(r" {2,}", " ", text)
     text = re.sub(r"[ \t]*\n[ ]*", "\n", text)
-    return re.sub(r"\n{3,}", "\n\n", text).strip(" \t\n")
+    return re.sub(r"\n{3,}", "\n\n", text).strip(" \t\n").replace(KEPT, " ")
 
 
 def select_text(html: str, selector: Selector, mode: str) -> str | None:
