@@ -28,7 +28,7 @@ def squeezed(text: Column) -> Column:
 
 def chunks(text: Column) -> Column:
     """Content-defined chunks, in order; their concatenation is the text."""
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{{LEAST},{MOST}}}?(?:{CUT})|.+"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{{LEAST},{MOST}}}?(?:{CUT})|.{{1,{MOST}}}"), F.lit(0))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,0 +1,164 @@
+"""Scans, encoders, language identification and token files against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from syllaspark.llm import bpe, langid, pieces, secrets, tokenfiles
+
+MULTI, TOKENIZER = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json")
+PARTS = ["a", "the", " ", "  ", "\n", "\t", "'s", "'", "é", "ß", "漢字", "1", "23", ".", " ", "\x1c", "\x85", "word", "ing", "!!", "\r\n", "😀", "LL", "'re", "Ⅷ", "<|endoftext|>"]
+
+
+def _texts(n, parts, longest, seed=1):
+    r = random.Random(seed)
+    return ["".join(r.choice(parts) for _ in range(r.randint(0, longest))) for _ in range(n)]
+
+
+def _docs(spark, texts):
+    rows = [(k, t, "x") for k, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, id string")  # a column whose name might clash
+
+
+EDGE = [None, "", "   ", "a" * 3000, "same", "same", "\n\n", "é" * 700]
+
+BASE_RX = [
+    ("assign", re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), lambda m: len(m[2]) >= 6),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+    ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 24),
+]
+
+
+def test_secrets_match_the_expressions(spark):
+    parts = ["token", "secret", "pass", "word", "wd", "api", "_", "key", "=", ":", " ", '"', "'", "abc", "AKIA", "0123456789ab", "DEADBEEF12345678", "é", "\n", "Bearer ", "://", "@", "user", "-", "TOKEN", "."]
+    texts = EDGE + _texts(1500, parts, 40, 5)
+    got = {r["doc_id"]: r for r in secrets.secret_report(_docs(spark, texts)).collect()}
+    assert len(got) == len(texts)
+    for k, t in enumerate(texts):
+        found = sorted((m.start(), order, f"{name}:{m.start()}:{m.end()}") for order, (name, rx, ok) in enumerate(BASE_RX) for m in rx.finditer(t or "") if ok(m))
+        assert got[k]["base_sha256"] == hashlib.sha256(",".join(x[2] for x in found).encode()).hexdigest(), t
+        assert [got[k][f"n_{n}"] for n, _, _ in BASE_RX] == [sum(x[1] == o for x in found) for o in range(3)]
+        assert {x[2] for x in found} <= set(got[k]["spans"].split(","))
+
+
+def test_secrets_added_kinds(spark):
+    texts = ["Authorization: Bearer abcdefghijkl.mno", "postgres://user:pa-ss@host/db", "-----BEGIN RSA PRIVATE KEY-----"]
+    rows = secrets.find_secrets(_docs(spark, texts)).orderBy("doc_id").collect()
+    assert [[f["kind"] for f in r["findings"]] for r in rows] == [["bearer"], ["userinfo"], ["pem"]]
+
+
+def test_bad_expression():
+    with pytest.raises(ValueError):
+        secrets.compiled((secrets.Rule("x", "(a", "a", 1),))
+
+
+def test_bpe_equals_the_library(spark):
+    encoding = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(MULTI), special_tokens={})
+    texts = EDGE + _texts(1500, PARTS, 40)
+    docs = _docs(spark, texts)
+    got = {r["doc_id"]: r for r in bpe.bpe_encode(docs, MULTI, P.PATTERN, digests=True).collect()}
+    ids = bpe.bpe_encode(docs, MULTI, P.PATTERN)
+    plain = {r["doc_id"]: r["ids"] for r in ids.collect()}
+    back = {r["doc_id"]: bytes(r["decoded"]) for r in bpe.bpe_decode(ids, MULTI).collect()}
+    for k, t in enumerate(texts):
+        want = encoding.encode_ordinary(t or "")
+        assert plain[k] == want, t
+        assert back[k] == (t or "").encode()
+        assert got[k]["n_tokens"] == len(want)
+        assert got[k]["ids_sha256"] == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
+        assert got[k]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
+
+
+def test_unit_table_may_shrink():
+    machine = bpe.MatrixBpe(bpe.read_ranks(MULTI))
+    small, large = pieces.Units(P.PATTERN, machine.encode_pieces, limit=20), pieces.Units(P.PATTERN, machine.encode_pieces)
+    for k in range(30):
+        texts = _texts(20, PARTS, 30, k)
+        (a, n), (b, m) = small.ids(texts), large.ids(texts)
+        assert (a == b).all() and (n == m).all()
+
+
+def test_token_files_round_trip(spark):
+    texts = EDGE + _texts(300, PARTS, 40, 9)
+    docs = _docs(spark, texts).unionByName(spark.createDataFrame([(None, "none", "x"), (5, "again", "x")], "doc_id long, text string, id string"))
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    rows = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"] is not None, r["text"] or "") for r in docs.collect())
+    want, at = [], 0
+    for k, _, t in rows:
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        want.append((k, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    got = [(-1 if r[0] is None else r[0], *r[1:]) for r in tokenfiles.token_file_report(docs, TOKENIZER, P.PATTERN).collect()]
+    assert sorted(got) == sorted(want)
+    assert tokenfiles.token_file_report(docs.where("false"), TOKENIZER, P.PATTERN).count() == 0
+
+
+def test_packing_of_wide_ids():
+    r = np.random.default_rng(2)
+    ids = np.concatenate([np.arange(70_000), r.integers(0, 300, 50_000)]).astype(np.int64)
+    raw = tokenfiles.pack(np.array([4, 9]), np.array([10, len(ids) - 10]), ids)
+    docs, sizes, back = tokenfiles.unpack(raw)
+    assert docs.tolist() == [4, 9] and sizes.sum() == len(ids) and (back == ids).all()
+    assert [len(x) for x in tokenfiles.unpack(tokenfiles.pack(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)))] == [0, 0, 0]
+    with pytest.raises(ValueError):
+        tokenfiles.unpack(b"otherwise" * 9)
+
+
+WORDS = {"en": "the of and to in that is was for with".split(), "de": "der die und das nicht für über straße ich auch".split(), "fr": "le la et les des une est dans où être".split()}
+
+
+def _labelled(spark, n=240):
+    r = random.Random(3)
+    rows = []
+    for k in range(n):
+        lang = r.choice(list(WORDS))
+        rows.append((k, " ".join(r.choice(WORDS[lang]) + r.choice(["", "", "en", "s"]) for _ in range(r.randint(5, 40))), lang))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_language_on_held_out_rows(spark):
+    docs = _labelled(spark).unionByName(spark.createDataFrame([(1000, None, "en"), (1001, "", "en"), (1002, "123 !!", "de"), (None, "the and", "en"), (1003, "THE AND THAT", None)], "doc_id long, text string, lang string"))
+    rows = langid.language_report(docs, MULTI).join(docs.select("doc_id", F.col("lang").alias("truth")), "doc_id", "left").collect()
+    by = {r["doc_id"]: r for r in rows if r["doc_id"] is not None}
+    assert len(rows) == docs.count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in by.values())
+    own = [r for k, r in by.items() if r["held_out"] and k < 1000]
+    assert len(own) > 50 and sum(r["lang_pred"] == r["truth"] for r in own) / len(own) > 0.97
+    assert all((by[k]["lang_pred"], by[k]["score"]) == ("und", 0.0) for k in (1000, 1001, 1002))
+    assert by[1003]["lang_pred"] == "en" and all(0 <= r["score"] <= 1 for r in rows)
+    nothing = langid.language_report(docs.withColumn("lang", F.lit(None).cast("string")), MULTI)
+    assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
+
+
+def test_forward_sums_all_segmentations():
+    vocabulary = langid.Vocabulary([b"ab", b"abc", b" a", b"bc"])
+    r = np.random.default_rng(1)
+    prob = np.vstack([r.random((vocabulary.size, 2)) / 50, np.zeros((1, 2))])
+    model = langid.Model(["x", "y"], vocabulary, prob)
+
+    def brute(raw, k):
+        if not raw:
+            return 1.0
+        total = 0.0
+        for n in range(1, min(len(raw), langid.LONGEST) + 1):
+            h = 0
+            for b in raw[:n]:
+                h = (h * int(langid._B) + b + 1) & (2**64 - 1)
+            total += prob[vocabulary.find(np.array([h], np.uint64))[0], k] * brute(raw[n:], k)
+        return total
+
+    words = ["abc", "cab", "é", "abcabc"]
+    got = model.word_scores(words)
+    for i, w in enumerate(words):
+        for k in (0, 1):
+            assert got[i, k] == pytest.approx(np.log(brute(b" " + w.encode(), k)))
+    assert np.isfinite(model.word_scores(["ab" * 3000])).all()
