@@ -13,7 +13,7 @@ whose sets overlap by a given Jaccard share, the components that the links form.
    overlap of a query with all of a node's sets by the summed minima of the query
    and the node's upper corner; only sets under nodes that could reach the needed
    overlap are verified, element by element.  Sets already connected are passed by.
-3. Large components.  One with more sets than a page is first thinned by verifying
+3. Large components.  One too large for a task is first thinned by verifying
    its stars, whose centres several priorities choose.  Sets that share a range and
    are still unconnected are joined with the same trees, page against page where
    many share it, so that no task holds a component.
@@ -27,8 +27,6 @@ Elements and sets are told apart by 64-bit hashes.  Other columns are not read.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +43,8 @@ PAGE = 64
 THINNING = 2
 #: Up to this many candidate ids are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 300_000
+#: Sets of a candidate component that one task takes whole.
+SMALL = 256
 #: (key, set) entries that a map task combines before it sends them on.
 BUFFER = 400_000
 
@@ -362,10 +362,10 @@ def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFram
             root = tree_join(found, num, den)
             yield _pairs([(r["node"], rows[k]["node"]) for r, k in zip(rows, root)], ("node", "class"))
 
-    little = sets.where(F.col("size") <= PAGE).repartition(tasks, "comp").sortWithinPartitions("comp").mapInArrow(small, "node long, class long")
-    if not sizes.where(F.col("size") > PAGE).limit(1).collect():
+    little = sets.where(F.col("size") <= SMALL).repartition(tasks, "comp").sortWithinPartitions("comp").mapInArrow(small, "node long, class long")
+    if not sizes.where(F.col("size") > SMALL).limit(1).collect():
         return little.distinct()
-    large = _large(nodes.where(F.col("size") > PAGE), sets.where(F.col("size") > PAGE), edges, scratch, num, den, tasks)
+    large = _large(nodes.where(F.col("size") > SMALL), sets.where(F.col("size") > SMALL), edges, scratch, num, den, tasks)
     return little.distinct().unionByName(large)
 
 
@@ -406,12 +406,11 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").select("a", "b", "key"), "stars")
     marked = _relabelled(nodes.select("node", F.col("node").alias("label")), verified(stars.select("a", "b").distinct()), scratch)
 
-    # What is still apart is compared key by key, for sets that link share a key, and size
-    # by size: a set goes into its own cell of sizes and the next, and links reach no further.
-    cell = F.floor(F.ln(F.col("n")) / F.lit(math.log(den / num) * 1.000001))
+    # What is still apart is compared key by key, for sets that link share a key.  The star
+    # of a key of two sets has compared them already.
     held_by = stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct()
-    held_by = held_by.join(sizes, "node").select("node", F.explode(F.array(cell, cell + 1)).alias("cell"), "key")
-    held_by = scratch.save(held_by.select(F.xxhash64("key", "cell").alias("key"), "node"), "held-by")
+    more_than_two = scratch.save(held_by.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select("key"), "more-than-two")
+    held_by = scratch.save(held_by.join(more_than_two, "key"), "held-by")
     for turn in range(THINNING + 1):
         apart = scratch.save(held_by.join(marked, "node"), "labelled")
         mixed = scratch.save(apart.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")).where("low <> high").select("key", "many"), "mixed")

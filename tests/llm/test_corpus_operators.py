@@ -65,6 +65,7 @@ def _groups(rows, k, num, den):
 @pytest.mark.parametrize(("k", "num", "den", "page"), [(4, 85, 100, 64), (5, 80, 100, 8)])
 def test_jaccard_components(spark, monkeypatch, k, num, den, page):
     monkeypatch.setattr(jaccard, "PAGE", page)
+    monkeypatch.setattr(jaccard, "SMALL", page)
     r = random.Random(7)
     texts = _edited(r, 60, 2, 80, [0, 1, 2, 3, 5, 6]) + [" ".join(f"q{r.randint(0, 2)}" for _ in range(r.randint(0, 8))) for _ in range(150)]
     texts += [None, "", " \n", "A B C", "a b c", "a b", "x " * 5000]
