@@ -11,14 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in every Python worker of the application.
 
     The package folder is zipped once per application and handed to Spark's own
-    file server, so that executors need no shared file system to import it.
+    file server, so that executors need no shared file system to import it.  Arrow
+    batches are held to 16 MB, unless the session asks for less, as rows may carry
+    whole documents and two Python workers share an executor.
     """
+    if int(str(spark.conf.get(BATCH_BYTES, "64m")).rstrip("b").replace("m", "000000")) > 16_777_216:
+        spark.conf.set(BATCH_BYTES, "16777216b")
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
