@@ -33,7 +33,7 @@ FILE_IDS = 2_000_000
 #: Up to so many rows of the file list are broadcast; a longer list is joined by a shuffle.
 BROADCAST_FILES = 200_000
 NULL_ID = -(2**63)
-_LENGTHS = np.array([[1 + (b >> 2 * k & 3) for k in range(4)] for b in range(256)], np.int64)
+_LENGTHS = np.array([[1 + (b >> 2 * k & 3) for k in range(4)] for b in range(256)], np.uint8)
 
 
 def pack(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
@@ -43,15 +43,18 @@ def pack(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
     rank_of = np.zeros(len(counts), np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     ranks = rank_of[ids]
-    length = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = length - 1
+    for bound in (0xFF, 0xFFFF, 0xFFFFFF):
+        codes[: len(ranks)] += ranks > bound
     control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
-    ends = np.cumsum(length)
-    data = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    for k in range(4):
-        has = length > k
-        data[(ends - length)[has] + k] = (ranks[has] >> np.uint32(8 * k)).astype(np.uint8)
+    begin = np.cumsum(codes[: len(ranks)], dtype=np.int64) + np.arange(len(ranks)) - codes[: len(ranks)]
+    data = np.zeros(int(begin[-1]) + 1 + int(codes[len(ranks) - 1]) if len(ranks) else 0, np.uint8)
+    data[begin] = ranks.astype(np.uint8)
+    for k in range(1, 4):
+        has = np.flatnonzero(codes[: len(ranks)] >= k)
+        if not len(has):
+            break
+        data[begin[has] + k] = (ranks[has] >> np.uint32(8 * k)).astype(np.uint8)
     head = np.array([len(doc_ids), len(ids), len(by_rank)], "<i8").tobytes()
     return b"".join([MAGIC, head, doc_ids.astype("<i8").tobytes(), sizes.astype("<i8").tobytes(), by_rank.astype("<u4").tobytes(), control.tobytes(), data.tobytes()])
 
@@ -68,12 +71,13 @@ def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     control = np.frombuffer(raw, np.uint8, -(-n // 4), at := at + 4 * distinct)
     data = np.frombuffer(raw, np.uint8, -1, at + len(control))
     length = _LENGTHS[control].ravel()[:n]
-    begin = np.cumsum(length) - length
+    begin = np.cumsum(length, dtype=np.int64) - length
     ranks = data[begin].astype(np.uint32)
     for k in range(1, 4):
         has = np.flatnonzero(length > k)
-        if len(has):
-            ranks[has] |= data[begin[has] + k].astype(np.uint32) << np.uint32(8 * k)
+        if not len(has):
+            break
+        ranks[has] |= data[begin[has] + k].astype(np.uint32) << np.uint32(8 * k)
     return doc_ids, sizes, by_rank[ranks].astype("<u4")
 
 
@@ -144,7 +148,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
         for batch in batches:
             column = batch.column(1)
             doc_ids = np.array(batch.column(0).fill_null(NULL_ID))
-            for first, last, _, _ in slices(column, 1 << 20):
+            for first, last, _, _ in slices(column, 4 << 20):
                 flat, per = units.ids(["" if t is None else t for t in column.slice(first, last - first).to_pylist()])
                 ids = np.insert(flat, np.cumsum(per), end_id)
                 held.append((doc_ids[first:last], per + 1, ids))
