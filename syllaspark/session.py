@@ -22,7 +22,7 @@ def ship(spark: SparkSession) -> None:
     batches are held to 16 MB, unless the session asks for less, as rows may carry
     whole documents and two Python workers share an executor.
     """
-    if int(str(spark.conf.get(BATCH_BYTES, "64m")).rstrip("b").replace("m", "000000")) > 16_777_216:
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_BYTES, "64m")) > 16_777_216:
         spark.conf.set(BATCH_BYTES, "16777216b")
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
