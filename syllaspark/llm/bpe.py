@@ -22,6 +22,8 @@ from .mapping import map_text
 from .pieces import Units, kept
 
 NONE = np.int32(2**31 - 1)
+#: Distinct units that a worker keeps between tasks.
+UNITS = 250_000
 #: Pieces of more bytes are merged one by one with a heap; the result is the same.
 LONG = 512
 
@@ -189,7 +191,7 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     def make():
         def tools():
             bpe = MatrixBpe(read_ranks(rank_file))
-            return bpe, Units(pattern, bpe.encode_pieces)
+            return bpe, Units(pattern, bpe.encode_pieces, UNITS)
 
         bpe, units = kept(("bpe", rank_file, pattern), tools)
 

@@ -199,7 +199,7 @@ def learn(labelled: DataFrame, vocabulary_file: str, text_col: str = "text", lan
     return fit(Vocabulary(list(read_ranks(vocabulary_file))), counts)
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", limit: int = 300_000) -> DataFrame:
+def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", limit: int = 150_000) -> DataFrame:
     """(id, lang_pred, score): the most probable language and its posterior under equal priors."""
     if model is None:
         return docs.select(docs[id_col], F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
