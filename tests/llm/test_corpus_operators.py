@@ -75,6 +75,8 @@ def test_jaccard_components(spark, monkeypatch, k, num, den, page):
     got = sorted(tuple(x) for x in jaccard.near_groups(frame, k, num, den).collect())
     assert got == _groups(rows, k, num, den)
     assert jaccard.near_groups(frame.where("false"), k, num, den).count() == 0
+    if k == 4:
+        assert sorted(_duck(queries.ORACLES["op1_jaccard"], documents=pd.DataFrame(rows, columns=["doc_id", "text"]))) == got
 
 
 def test_keys_of_linked_sets_meet():
@@ -154,6 +156,7 @@ def test_passages(spark, monkeypatch, common, shard):
     frame = frame.unionByName(spark.createDataFrame([(None, "a", 1)], frame.schema))
     assert sorted(tuple(x) for x in passages.repeated_passages(frame).collect()) == _passages(rows, 13)
     assert passages.repeated_passages(frame.where("false")).count() == 0
+    assert sorted(_duck(queries.ORACLES["op9_passages"], documents=pd.DataFrame(rows, columns=["doc_id", "text"]))) == _passages(rows, 13)
 
 
 def test_fm_index_intervals():
