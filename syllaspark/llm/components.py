@@ -11,28 +11,35 @@ from ..session import Scratch
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, label): the least node reachable, for every node that an edge (a, b) names.
 
-    Each round takes the least label among a node's neighbours, hands it on to the
-    node that the present label names, and shortcuts labels of labels, so that the
-    rounds grow with the logarithm of the longest path.  Messages are aggregated
-    before they are shuffled; a node with very many edges is split by the skew join,
-    as both sides of each join are plain table scans.
+    Each level lets every node point to the least node within two steps, follows the
+    pointers to their ends, and goes on with the edges between those ends, of which
+    there are ever fewer.  Pointers lead downwards, so they have no cycles and end at
+    the least node of a component at last.  Messages are aggregated before they are
+    shuffled; a node with very many edges is split by the skew join, as both sides of
+    each join are plain table scans.
     """
-    both = scratch.save(edges.select("a", "b").where("a <> b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct(), "edges")
-    labels = scratch.save(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
-    old: list[DataFrame] = []
-    while True:
-        near = scratch.save(both.join(labels.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("node")).agg(F.min("label").alias("least")), "near")
-        told = labels.join(near, "node").select("node", "label", F.least("label", "least").alias("least"))
-        hooks = told.where("least < label").select(F.col("label").alias("node"), "least").unionByName(told.select("node", "least"))
-        mid = scratch.save(hooks.groupBy("node").agg(F.min("least").alias("label")), "mid")
-        short = mid.join(mid.select(F.col("node").alias("label"), F.col("label").alias("next")), "label", "left")
-        new = scratch.save(short.select("node", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
-        changed = new.join(labels.withColumnRenamed("label", "was"), "node").where("label <> was").limit(1).collect()
-        old += [labels, near, mid]
-        labels = new
-        for frame in old:
-            scratch.drop(frame)
-        old.clear()
-        if not changed:
-            scratch.drop(both)
-            return labels
+    pairs = edges.select("a", "b").where("a <> b")
+    now = scratch.save(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = None
+    while labels is None or now.limit(1).collect():
+        one = scratch.save(now.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("least")), "one")
+        two = now.join(one.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("node")).agg(F.min("least").alias("far"))
+        ends = scratch.save(one.join(two, "node").select("node", F.least("least", "far").alias("label")), "ends")
+        while True:  # pointers of pointers
+            on = ends.join(ends.select(F.col("node").alias("label"), F.col("label").alias("next")), "label")
+            on = scratch.save(on.select("node", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved")), "ends")
+            scratch.drop(ends)
+            ends = on
+            if not ends.where("moved").limit(1).collect():
+                break
+        ends = ends.select("node", "label")
+        if labels is None:
+            labels = ends
+        else:
+            labels = scratch.save(labels.join(ends.select(F.col("node").alias("label"), F.col("label").alias("least")), "label", "left").select("node", F.coalesce("least", "label").alias("label")), "labels")
+        at = lambda n: ends.select(F.col("node").alias(n), F.col("label").alias(f"to_{n}"))  # noqa: B023, E731
+        further = now.join(at("a"), "a").join(at("b"), "b").where("to_a <> to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).distinct()
+        further = scratch.save(further, "edges")
+        scratch.drop(now)
+        now = further
+    return labels

@@ -289,12 +289,16 @@ def tree_join(sets: list[np.ndarray], num: int, den: int) -> list[int]:
 
 def _sets_of(width: int):
     def run(batches):
+        told: set[int] = set()  # rows of a repeated id and text count once in a task
         for batch in batches:
             node = np.array(batch.column(1), np.int64)
             for first, last, buf, offs in slices(batch.column(0), SLICE_BYTES):
                 found = shingle_sets(buf, offs, width)
                 name = mix(np.array([mix(s, 1).sum(dtype=U) for s in found], U) + np.array([len(s) for s in found], U), 3).view(np.int64)
                 ok = name == node[first:last]  # a repeated id may name another text
+                for i in np.flatnonzero(ok).tolist():
+                    ok[i] = int(name[i]) not in told
+                    told.add(int(name[i]))
                 rows = batch.slice(first, last - first).filter(pa.array(ok))
                 yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), rows.column(3), pa.array([s.tobytes() for s, k in zip(found, ok) if k], pa.binary())], names=["node", "comp", "size", "elements"])
 
@@ -371,7 +375,7 @@ def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFram
 
 def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     """(node, class) in components of more sets than a page."""
-    sets = scratch.save(sets.select("node", "elements").dropDuplicates(["node"]), "large-sets")
+    sets = sets.select("node", "elements")
 
     def to_points(batches):
         for batch in batches:
@@ -395,46 +399,53 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     def verified(pairs):
-        """The pairs that link, element by element; points meet only if sizes allow it, and sets if points do."""
-        named = lambda table, n, *more: table.select(F.col("node").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in more])
+        """The pairs that link, element by element."""
+        named = lambda n: sets.select(F.col("node").alias(n), F.col("elements").alias(f"elements_{n}"))
+        met = pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b")
+        return scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(verify, "a long, b long"), "links")
+
+    def connect(marked, pairs):
+        """``marked`` after the links among the pairs.  Points meet only if sizes allow it, and sets if points do.
+
+        Each set is verified with one partner first; then only pairs still apart are.
+        """
+        named = lambda table, n, c: table.select(F.col("node").alias(n), F.col(c).alias(f"{c}_{n}"))
         met = pairs.join(named(sizes, "a", "n"), "a").join(named(sizes, "b", "n"), "b")
         met = scratch.save(met.where((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)), "sized")
         met = met.join(named(points, "a", "point"), "a").join(named(points, "b", "point"), "b")
         met = scratch.save(met.select("a", "b", "n_a", "point_a", "n_b", "point_b").mapInArrow(bounded, "a long, b long"), "bounded")
-        met = met.join(named(sets, "a", "elements"), "a").join(named(sets, "b", "elements"), "b")
-        return scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(verify, "a long, b long"), "links")
+        marked = _relabelled(marked, verified(met.groupBy("a").agg(F.min("b").alias("b"))), scratch)
+        label = lambda n: marked.select(F.col("node").alias(n), F.col("label").alias(f"label_{n}"))
+        rest = scratch.save(met.join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b").select("a", "b").distinct(), "rest")
+        return _relabelled(marked, verified(rest), scratch) if rest.limit(1).collect() else marked
 
     stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").select("a", "b", "key"), "stars")
-    marked = _relabelled(nodes.select("node", F.col("node").alias("label")), verified(stars.select("a", "b").distinct()), scratch)
+    marked = connect(nodes.select("node", F.col("node").alias("label")), stars.select("a", "b").distinct())
 
     # What is still apart is compared key by key, for sets that link share a key.  The star
     # of a key of two sets has compared them already.
     held_by = stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct()
     more_than_two = scratch.save(held_by.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select("key"), "more-than-two")
-    held_by = scratch.save(held_by.join(more_than_two, "key"), "held-by")
+    held_by = scratch.save(held_by.join(more_than_two, "key", "left_semi"), "held-by")
     for turn in range(THINNING + 1):
-        apart = scratch.save(held_by.join(marked, "node"), "labelled")
-        mixed = scratch.save(apart.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")).where("low <> high").select("key", "many"), "mixed")
-        if not mixed.limit(1).collect():
-            return marked.select("node", F.col("label").alias("class"))
-        apart = scratch.save(apart.join(mixed, "key"), "apart")
-        many = apart.where(F.col("many") > PAGE)
-        if turn == THINNING or not many.limit(1).collect():
-            break
-        centre = many.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn), F.pmod("key", F.lit(4))).alias("h"), "node", "label")).alias("c"))
-        centre = scratch.save(centre.select("key", F.col("c.node").alias("b"), F.col("c.label").alias("other")), "centres")
-        more = many.join(centre, "key").where("label <> other").select(F.col("node").alias("a"), "b").distinct()
-        found = verified(more)
-        if not found.limit(1).collect():
+        labelled = scratch.save(held_by.join(marked, "node"), "labelled")
+        some = F.min(F.struct(F.xxhash64("node", F.lit(turn), F.pmod("key", F.lit(4))).alias("h"), "node"))
+        counts = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), some.alias("some"))
+        top = F.max(F.struct("n", "label", "some"))
+        groups = scratch.save(counts.groupBy("key").agg(top.alias("top"), F.sum("n").alias("n"), F.count("*").alias("labels")).where("labels > 1").select("key", "n", F.col("top.label").alias("major"), F.col("top.n").alias("most"), F.col("top.some.node").alias("b")), "groups")
+        large = groups.where(F.col("n") > PAGE)
+        if turn == THINNING or not large.limit(1).collect():
             break
-        marked = _relabelled(marked, found, scratch)
+        # sets outside a large key's most common label meet one set of it
+        minor = labelled.join(large.select("key", "major", "b"), "key").where("label <> major").select(F.col("node").alias("a"), "b")
+        marked = connect(marked, scratch.save(minor.distinct(), "minor"))
+    if not groups.limit(1).collect():
+        return marked.select("node", F.col("label").alias("class"))
 
     # In one page where few share a key, else pages of the labels other than the key's most
     # common one against all its pages.
-    held_by = apart
-    counts = held_by.groupBy("key", "label").agg(F.count("*").alias("n"))
-    groups = scratch.save(counts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n")).select("key", F.when(F.col("n") > PAGE, F.col("top.label")).alias("major"), F.ceil((F.col("n") - F.col("top.n")) / PAGE).cast("int").alias("minor_pages"), F.ceil(F.col("top.n") / PAGE).cast("int").alias("major_pages")), "groups")
-    paged = held_by.join(groups, "key").withColumn("is_major", F.col("label").eqNullSafe(F.col("major")))
+    groups = groups.select("key", F.when(F.col("n") > PAGE, F.col("major")).alias("major"), F.ceil((F.col("n") - F.col("most")) / PAGE).cast("int").alias("minor_pages"), F.ceil(F.col("most") / PAGE).cast("int").alias("major_pages"))
+    paged = labelled.join(groups, "key").withColumn("is_major", F.col("label").eqNullSafe(F.col("major")))
     pages = F.when(F.col("is_major"), F.col("major_pages")).when(F.col("major").isNotNull(), F.col("minor_pages")).otherwise(1)
     paged = paged.withColumn("page", F.pmod(F.xxhash64("node"), pages).cast("int")).join(points, "node")
     upto = lambda last: F.sequence(F.lit(0), last)
@@ -459,8 +470,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
             yield _pairs([(min(x, y), max(x, y)) for i, at in near for x, y in ((sides[0][i]["node"], sides[1][j]["node"]) for j in at.tolist())], ("a", "b"))
 
     near = dealt.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(join, "a long, b long").distinct()
-    more = verified(scratch.save(near, "near"))
-    return _relabelled(marked, more, scratch).select("node", F.col("label").alias("class"))
+    return connect(marked, scratch.save(near, "near")).select("node", F.col("label").alias("class"))
 
 
 def _relabelled(marked: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
