@@ -6,10 +6,12 @@ tens of megabytes whatever the batch holds.  A single longer text is one slice.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 U = np.uint64
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -113,3 +115,19 @@ def has_letter_table() -> np.ndarray:
     import unicodedata
 
     return np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
+def tidy(f):
+    """``f`` as a task that gives freed memory back, as workers outlive tasks and share an executor's limit."""
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return run

@@ -23,7 +23,7 @@ from .pieces import Units, kept
 
 NONE = np.int32(2**31 - 1)
 #: Distinct units that a worker keeps between tasks.
-UNITS = 250_000
+UNITS = 150_000
 #: Pieces of more bytes are merged one by one with a heap; the result is the same.
 LONG = 512
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, ship, tasks_for
-from .arrays import SLICE_BYTES, U, chained, mix, slices, span_hashes, words
+from .arrays import SLICE_BYTES, U, chained, mix, slices, span_hashes, tidy, words
 from .components import connected_components
 
 GROUPS = 256
@@ -46,7 +46,7 @@ BROADCAST_IDS = 300_000
 #: Sets of a candidate component that one task takes whole.
 SMALL = 256
 #: (key, set) entries that a map task combines before it sends them on.
-BUFFER = 400_000
+BUFFER = 250_000
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int) -> list[np.ndarray]:
@@ -334,8 +334,8 @@ def near_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     plain = docs.where(docs[id_col].isNotNull()).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     tasks = tasks_for(docs, 6 << 20)
     buckets = 1 << max(8, (4 * tasks - 1).bit_length())
-    sent = plain.mapInArrow(_send(width, num, den, buckets), "bucket long, kind int, payload binary")
-    got = scratch.save(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_receive, "kind int, a long, b long, c long"), "shards")
+    sent = plain.mapInArrow(tidy(_send(width, num, den, buckets)), "bucket long, kind int, payload binary")
+    got = scratch.save(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_receive), "kind int, a long, b long, c long"), "shards")
     members = got.where("kind = 2").select(F.col("a").alias("id"), F.col("b").alias("n"), F.col("c").alias("node"))
     edges = got.where("kind = 1").select("a", "b", F.col("c").alias("key"))
 
@@ -358,7 +358,7 @@ def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFram
     firsts = scratch.save(members.join(nodes, "node").groupBy("node", "comp", "size").agg(F.min("id").alias("id")), "firsts")
     picked = F.broadcast(firsts) if firsts.count() <= BROADCAST_IDS else firsts
     texts = plain.join(picked, "id").select("text", "node", "comp", "size")
-    sets = scratch.save(texts.mapInArrow(_sets_of(width), "node long, comp long, size long, elements binary"), "sets")
+    sets = scratch.save(texts.mapInArrow(tidy(_sets_of(width)), "node long, comp long, size long, elements binary"), "sets")
 
     def small(batches):
         for _, rows in _by_key(batches, "comp"):
@@ -366,7 +366,7 @@ def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFram
             root = tree_join(found, num, den)
             yield _pairs([(r["node"], rows[k]["node"]) for r, k in zip(rows, root)], ("node", "class"))
 
-    little = sets.where(F.col("size") <= SMALL).repartition(tasks, "comp").sortWithinPartitions("comp").mapInArrow(small, "node long, class long")
+    little = sets.where(F.col("size") <= SMALL).repartition(tasks, "comp").sortWithinPartitions("comp").mapInArrow(tidy(small), "node long, class long")
     if not sizes.where(F.col("size") > SMALL).limit(1).collect():
         return little.distinct()
     large = _large(nodes.where(F.col("size") > SMALL), sets.where(F.col("size") > SMALL), edges, scratch, num, den, tasks)
@@ -383,7 +383,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([to_point(row) for row in counted(found)], pa.binary())], names=["node", "n", "point"])
 
     sizes = scratch.save(sets.select("node", (F.octet_length("elements") / 8).cast("long").alias("n")), "set-sizes")
-    points = scratch.save(sets.mapInArrow(to_points, "node long, n long, point binary"), "points")
+    points = scratch.save(sets.mapInArrow(tidy(to_points), "node long, n long, point binary"), "points")
 
     def bounded(batches):
         for batch in batches:
@@ -402,7 +402,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
         """The pairs that link, element by element."""
         named = lambda n: sets.select(F.col("node").alias(n), F.col("elements").alias(f"elements_{n}"))
         met = pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b")
-        return scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(verify, "a long, b long"), "links")
+        return scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(tidy(verify), "a long, b long"), "links")
 
     def connect(marked, pairs):
         """``marked`` after the links among the pairs.  Points meet only if sizes allow it, and sets if points do.
@@ -413,7 +413,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
         met = pairs.join(named(sizes, "a", "n"), "a").join(named(sizes, "b", "n"), "b")
         met = scratch.save(met.where((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)), "sized")
         met = met.join(named(points, "a", "point"), "a").join(named(points, "b", "point"), "b")
-        met = scratch.save(met.select("a", "b", "n_a", "point_a", "n_b", "point_b").mapInArrow(bounded, "a long, b long"), "bounded")
+        met = scratch.save(met.select("a", "b", "n_a", "point_a", "n_b", "point_b").mapInArrow(tidy(bounded), "a long, b long"), "bounded")
         marked = _relabelled(marked, verified(met.groupBy("a").agg(F.min("b").alias("b"))), scratch)
         label = lambda n: marked.select(F.col("node").alias(n), F.col("label").alias(f"label_{n}"))
         rest = scratch.save(met.join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b").select("a", "b").distinct(), "rest")
@@ -469,7 +469,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
                 near = near_points(grids[0], grids[1], sizes[0], sizes[1], label[0], label[1], num, den)
             yield _pairs([(min(x, y), max(x, y)) for i, at in near for x, y in ((sides[0][i]["node"], sides[1][j]["node"]) for j in at.tolist())], ("a", "b"))
 
-    near = dealt.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(join, "a long, b long").distinct()
+    near = dealt.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(tidy(join), "a long, b long").distinct()
     return connect(marked, scratch.save(near, "near")).select("node", F.col("label").alias("class"))
 
 
