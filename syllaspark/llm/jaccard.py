@@ -39,12 +39,12 @@ from .components import connected_components
 GROUPS = 256
 #: Sets that one task joins at most on either side.
 PAGE = 64
-#: Rounds of stars with other centres for keys of more sets than a page, before what is apart is compared in full.
-THINNING = 2
+#: Further rounds of stars for keys of more sets than a page, before what is apart is compared in full.
+THINNING = 1
 #: Up to this many candidate ids are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 300_000
 #: Sets of a candidate component that one task takes whole.
-SMALL = 256
+SMALL = 64
 #: (key, set) entries that a map task combines before it sends them on.
 BUFFER = 250_000
 
@@ -398,26 +398,16 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
             ok = [links(own(2, i), own(3, i), num, den) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def verified(pairs):
-        """The pairs that link, element by element."""
-        named = lambda n: sets.select(F.col("node").alias(n), F.col("elements").alias(f"elements_{n}"))
-        met = pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b")
-        return scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(tidy(verify), "a long, b long"), "links")
-
     def connect(marked, pairs):
-        """``marked`` after the links among the pairs.  Points meet only if sizes allow it, and sets if points do.
-
-        Each set is verified with one partner first; then only pairs still apart are.
-        """
+        """``marked`` after the links among the pairs.  Points meet only if sizes allow it, and sets if points do."""
         named = lambda table, n, c: table.select(F.col("node").alias(n), F.col(c).alias(f"{c}_{n}"))
         met = pairs.join(named(sizes, "a", "n"), "a").join(named(sizes, "b", "n"), "b")
         met = scratch.save(met.where((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)), "sized")
         met = met.join(named(points, "a", "point"), "a").join(named(points, "b", "point"), "b")
         met = scratch.save(met.select("a", "b", "n_a", "point_a", "n_b", "point_b").mapInArrow(tidy(bounded), "a long, b long"), "bounded")
-        marked = _relabelled(marked, verified(met.groupBy("a").agg(F.min("b").alias("b"))), scratch)
-        label = lambda n: marked.select(F.col("node").alias(n), F.col("label").alias(f"label_{n}"))
-        rest = scratch.save(met.join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b").select("a", "b").distinct(), "rest")
-        return _relabelled(marked, verified(rest), scratch) if rest.limit(1).collect() else marked
+        met = met.join(named(sets, "a", "elements"), "a").join(named(sets, "b", "elements"), "b")
+        found = scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(tidy(verify), "a long, b long"), "links")
+        return _relabelled(marked, found, scratch)
 
     stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").select("a", "b", "key"), "stars")
     marked = connect(nodes.select("node", F.col("node").alias("label")), stars.select("a", "b").distinct())
