@@ -114,3 +114,17 @@ def soft_404(institution: Column, html: Column) -> Column:
 
 def has_text(text: Column) -> Column:
     return F.coalesce(F.length(text) > 0, F.lit(False))
+
+
+#: A heading that says "not found", and the least bytes of a page that stands without its code.
+LOST_HEADING, LEAST_BYTES = r"(?i)siden ble ikke funnet|page not found|404", 120
+
+
+def lost(h1: Column) -> Column:
+    return F.coalesce(h1.rlike(LOST_HEADING), F.lit(False))
+
+
+def page_ok(status: Column, content_type: Column, h1: Column, body: Column, code: Column) -> Column:
+    """Whether an answer is a usable page: an HTML success whose heading isn't an error and which is long enough or names the code."""
+    answered = (status >= 200) & (status < 400) & content_type.contains("text/html")
+    return F.coalesce(answered & ~lost(h1) & ((F.octet_length(body) >= LEAST_BYTES) | mentions(body, code)), F.lit(False))

@@ -341,8 +341,8 @@ def soft_404(spark, folder):
 @query()
 def page_status(spark, folder):
     facts = table(spark, folder, "pages").select("page_id", page_facts(F.col("html")).alias("f"))
-    lost = F.coalesce(F.col("f.h1").rlike("(?i)siden ble ikke funnet|page not found|404"), F.lit(False))
-    return facts.select("page_id", F.col("f.h1").alias("h1"), lost.alias("soft_404"), F.octet_length("f.body").alias("bytes"), (~lost & (F.octet_length("f.body") >= 120)).alias("ok"))
+    ok = text.page_ok(F.lit(200), F.lit("text/html; charset=utf-8"), F.col("f.h1"), F.col("f.body"), F.col("page_id").cast("string"))
+    return facts.select("page_id", F.col("f.h1").alias("h1"), text.lost(F.col("f.h1")).alias("soft_404"), F.octet_length("f.body").alias("bytes"), ok.alias("ok"))
 
 
 @query()

@@ -104,3 +104,9 @@ def test_small_texts(spark):
     assert one(text.sentences(F.lit(" A. B.\n\nC "))) == ["A.", "B.", "C"]
     assert one(text.soft_404(F.lit("hvl"), F.lit("Vi kunne ikkje finne emnet du ser etter"))) == "hvl_not_found_error"
     assert one(text.soft_404(F.lit("uia"), F.lit("Vi kunne ikkje finne emnet du ser etter"))) is None
+
+
+def test_page_ok(spark):
+    rows = [(200, "text/html", "Emne", "x" * 120, "A1"), (200, "text/html", "Emne", "kort a1", "A1"), (200, "text/html", "Emne", "kort", "A1"), (404, "text/html", "Emne", "x" * 200, "A1"), (200, "application/pdf", None, "x" * 200, "A1"), (302, "text/html", "Page not found", "x" * 200, "A1"), (None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, "s int, t string, h string, b string, c string")
+    assert [r[0] for r in frame.select(text.page_ok(*[F.col(c) for c in "sthbc"])).collect()] == [True, True, False, False, False, False, False]
