@@ -2,10 +2,34 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import Scratch
+from ..session import Scratch, ship
+
+#: Up to so many edges (16 bytes each) one task does; more are done by joins.
+ONE_TASK = 1_000_000
+
+
+def _in_one_task(batches):
+    held = [np.column_stack([np.array(batch.column(k), np.int64) for k in (0, 1)]) for batch in batches]
+    if not held:
+        return
+    nodes, place = np.unique(np.concatenate(held), return_inverse=True)
+    a, b = place.reshape(-1, 2).T
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        for side in (a, b, label[a], label[b]):
+            np.minimum.at(new, side, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], names=["node", "label"])
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -16,9 +40,13 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     there are ever fewer.  Pointers lead downwards, so they have no cycles and end at
     the least node of a component at last.  Messages are aggregated before they are
     shuffled; a node with very many edges is split by the skew join, as both sides of
-    each join are plain table scans.
+    each join are plain table scans.  Few edges are settled by one task instead.
     """
-    pairs = edges.select("a", "b").where("a <> b")
+    ship(edges.sparkSession)
+    edges = scratch.save(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    if edges.count() <= ONE_TASK:
+        return scratch.save(edges.coalesce(1).mapInArrow(_in_one_task, "node long, label long"), "labels")
+    pairs = edges
     now = scratch.save(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = None
     while labels is None or now.limit(1).collect():

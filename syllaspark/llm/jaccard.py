@@ -414,9 +414,9 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
 
     # What is still apart is compared key by key, for sets that link share a key.  The star
     # of a key of two sets has compared them already.
-    held_by = stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct()
-    more_than_two = scratch.save(held_by.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select("key"), "more-than-two")
-    held_by = scratch.save(held_by.join(more_than_two, "key", "left_semi"), "held-by")
+    more_than_two = scratch.save(stars.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "more-than-two")
+    stars = scratch.save(stars.join(more_than_two, "key", "left_semi"), "stars")
+    held_by = scratch.save(stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct(), "held-by")
     for turn in range(THINNING + 1):
         labelled = scratch.save(held_by.join(marked, "node"), "labelled")
         some = F.min(F.struct(F.xxhash64("node", F.lit(turn), F.pmod("key", F.lit(4))).alias("h"), "node"))

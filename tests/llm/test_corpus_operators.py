@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from syllaspark.llm import fmindex, jaccard, mixing, passages, preference, queries, recipes, topk
+from syllaspark.llm import components, fmindex, jaccard, mixing, passages, preference, queries, recipes, topk
 from syllaspark.llm.components import connected_components
 from syllaspark.session import Scratch
 
@@ -102,7 +102,9 @@ def test_tree_bounds_never_lose_a_link():
         assert {j for j, t in enumerate(sets) if jaccard.links(s, t, 80, 100)} <= near
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 1_000_000])
+def test_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(components, "ONE_TASK", one_task)
     r = random.Random(2)
     pairs = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(r.randint(200, 260), r.randint(200, 260)) for _ in range(40)] + [(7, 7)]
     got = {x["node"]: x["label"] for x in connected_components(spark.createDataFrame(pairs, "a long, b long"), Scratch(spark, "t")).collect()}
