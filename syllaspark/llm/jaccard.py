@@ -409,7 +409,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
         found = scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(tidy(verify), "a long, b long"), "links")
         return _relabelled(marked, found, scratch)
 
-    stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a").select("a", "b", "key"), "stars")
+    stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b", "key"), "stars")
     marked = connect(nodes.select("node", F.col("node").alias("label")), stars.select("a", "b").distinct())
 
     # What is still apart is compared key by key, for sets that link share a key.  The star
