@@ -63,7 +63,7 @@ def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    return token_file_report(_table(spark, folder, "documents"), TOKENIZER, public_tokenizers.PATTERN)
+    return token_file_report(_table(spark, folder, "documents"), TOKENIZER, public_tokenizers.PATTERN, added_tokens=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

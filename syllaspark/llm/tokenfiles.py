@@ -10,11 +10,14 @@ ids; document lengths; ids by rank (4 bytes each); control bytes; data bytes.
 
 Rows: every row is written, also repeated ones and null or empty texts (the end id
 alone).  Rows of equal id are ordered by text; a null id comes first and is read
-back as null.  Columns other than id and text are not read.
+back as null.  Columns other than id and text are not read.  With ``added_tokens`` ids
+are what the library gives by default, so that an added token of the tokenizer that
+stands in a text is one id; without, it is encoded like any other characters.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from itertools import chain
 
@@ -81,7 +84,7 @@ def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, sizes, by_rank[ranks].astype("<u4")
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS, added_tokens: bool = False) -> DataFrame:
     """Write the files below ``folder``; the list of files (name, n_docs, n_ids), by name in document order.
 
     Rows are dealt out by ranges of the id, so one shuffle orders the whole corpus.
@@ -101,7 +104,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
 
         def tools():
             tokenizer = Tokenizer.from_file(tokenizer_file)
-            tokenizer.encode_special_tokens = True
+            tokenizer.encode_special_tokens = not added_tokens
+            added = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+            holds = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
 
             def plain(texts):
                 rows = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -126,9 +131,22 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
                 ends = np.cumsum(size)
                 return np.append(a, b)[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], size
 
-            return Units(pattern, encode)
+            units = Units(pattern, encode)
 
-        units = kept(("library", tokenizer_file, pattern), tools)
+            def whole(texts):
+                """Texts that hold an added token go to the library as they are, since it finds those before it cuts."""
+                odd = [k for k, t in enumerate(texts) if holds(t)]
+                if not odd:
+                    return units.ids(texts)
+                flat, per = units.ids(["" if holds(t) else t for t in texts])
+                ids, size = plain([texts[k] for k in odd])
+                flat = np.insert(flat, np.repeat(np.cumsum(per)[odd], size), ids)
+                per[odd] = size
+                return flat, per
+
+            return whole
+
+        ids_of = kept(("library", tokenizer_file, pattern, added_tokens), tools)
         store, base = fs.FileSystem.from_uri(folder)
         part, done = TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -149,7 +167,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
             column = batch.column(1)
             doc_ids = np.array(batch.column(0).fill_null(NULL_ID))
             for first, last, _, _ in slices(column, 4 << 20):
-                flat, per = units.ids(["" if t is None else t for t in column.slice(first, last - first).to_pylist()])
+                flat, per = ids_of(["" if t is None else t for t in column.slice(first, last - first).to_pylist()])
                 ids = np.insert(flat, np.cumsum(per), end_id)
                 held.append((doc_ids[first:last], per + 1, ids))
                 if sum(len(x[2]) for x in held) >= file_ids:
@@ -196,11 +214,11 @@ def read_token_files(files: DataFrame, folder: str, digests: bool = False) -> Da
     return raw.select("content", "base").mapInArrow(run, f"doc_id long, start long, n_tokens long, {what}")
 
 
-def token_file_report(docs: DataFrame, tokenizer_file: str, pattern: str) -> DataFrame:
+def token_file_report(docs: DataFrame, tokenizer_file: str, pattern: str, added_tokens: bool = False) -> DataFrame:
     """Write all documents, read the files back, and report start, length and crc32 of each document's ids."""
     scratch = Scratch(docs.sparkSession, "tokens")
     folder = f"{scratch.base}/files"
-    files = scratch.save(write_token_files(docs, folder, tokenizer_file, pattern), "list")
+    files = scratch.save(write_token_files(docs, folder, tokenizer_file, pattern, added_tokens=added_tokens), "list")
     if not files.limit(1).collect():
         return docs.sparkSession.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return read_token_files(files, folder, digests=True)

@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from syllaspark.llm import bpe, langid, pieces, secrets, tokenfiles
+from syllaspark.llm import bpe, langid, pieces, queries, secrets, tokenfiles
 
 MULTI, TOKENIZER = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json")
 PARTS = ["a", "the", " ", "  ", "\n", "\t", "'s", "'", "é", "ß", "漢字", "1", "23", ".", " ", "\x1c", "\x85", "word", "ing", "!!", "\r\n", "😀", "LL", "'re", "Ⅷ", "<|endoftext|>"]
@@ -102,6 +102,20 @@ def test_token_files_round_trip(spark):
     assert tokenfiles.token_file_report(docs.where("false"), TOKENIZER, P.PATTERN).count() == 0
 
 
+def test_token_files_match_added_tokens(spark, tmp_path):
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "plain words", "<|endoftext|><|endoftext|>\n\n x", None, "a<|endoftext|>b", "a <|endoftext| >", " \n <|endoftext|>  end ", "after"]
+    texts += _texts(60, PARTS, 20, 11)
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    want, at = [], 0
+    for k, t in enumerate(texts):
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        want.append((k, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    _docs(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(tuple(r) for r in queries.op10_token_files(spark, str(tmp_path)).collect()) == want
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [31373, 220, 50256, 995]
+
+
 def test_packing_of_wide_ids():
     r = np.random.default_rng(2)
     ids = np.concatenate([np.arange(70_000), r.integers(0, 300, 50_000)]).astype(np.int64)
