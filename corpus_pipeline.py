@@ -7,6 +7,8 @@ texts need not move.  Rows are named by id and text, as ids may repeat.
 
 from __future__ import annotations
 
+from itertools import count
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,9 +64,22 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of five-word shingles at 0.8 connect, the least id stays."""
-    groups = near_groups(docs, width=5, num=80, den=100)
-    return _without(docs, groups.where("component_id <> doc_id").select(F.col("doc_id").alias("id")), Scratch(spark, "near"))
+    """Of documents that links of five-word shingles at 0.8 connect, the least id stays; of its rows, where it repeats, one."""
+    scratch = Scratch(spark, "near")
+    known = docs.where("doc_id is not null")
+    if not known.groupBy("doc_id").count().where("count > 1").limit(1).collect():
+        groups = near_groups(docs, width=5, num=80, den=100)
+        return _without(docs, groups.where("component_id <> doc_id").select(F.col("doc_id").alias("id")), scratch)
+    rows = scratch.save(known.select(_row(known).alias("row")).distinct(), "rows")
+    # a key of its own for each row: the first salt under which no two of them share one
+    salt = next(k for k in count() if not rows.groupBy(F.xxhash64("row.id", "row.hash", F.lit(k))).count().where("count > 1").limit(1).collect())
+    key = lambda row: F.xxhash64(row["id"], row["hash"], F.lit(salt))
+    groups = near_groups(known.select(key(_row(known)).alias("key"), known["text"]), width=5, num=80, den=100, id_col="key")
+    linked = scratch.save(groups.where("component_id <> key").select("key", "component_id"), "linked")
+    members = linked.unionByName(linked.select(F.col("component_id").alias("key"), "component_id").distinct())
+    members = scratch.save(members.join(rows.select(key(F.col("row")).alias("key"), "row"), "key").select("component_id", "row"), "members")
+    least = members.groupBy("component_id").agg(F.min("row").alias("row"))
+    return _without(docs, members.join(least.select("row"), "row", "left_anti").select("row.*"), scratch)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,3 +60,14 @@ def test_repeated_rows_of_one_id(spark):
     got = sorted((x["doc_id"], x["text"]) for x in corpus_pipeline.exact(spark, docs, "").collect())
     assert got == [(1, "a b"), (1, "c")]
     assert corpus_pipeline.exact(spark, docs.withColumn("n_chars", F.lit(0).cast("long")), "").count() == 2
+
+
+def test_near_copies_among_rows_of_one_id(spark):
+    r = random.Random(4)
+    a, b, c, d, e = (" ".join(f"{r.choice('abcdefgh')}{r.randint(0, 999)}" for _ in range(60)) for _ in range(5))
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (3, c + " tail"), (4, d), (5, d + " x"), (5, d + " y"), (0, e), (7, e + " z"), (None, a + " none"), (8, None), (8, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], FIELDS)
+    got = [(x["doc_id"], x["text"]) for x in corpus_pipeline.near(spark, docs, "").collect()]
+    three = [x for x in got if x[0] == 3]
+    assert len(three) == 1 and three[0] in rows
+    assert sorted((x for x in got if x[0] != 3), key=str) == sorted([(1, a), (2, b), (4, d), (0, e), (None, a + " none"), (8, None), (8, "")], key=str)
