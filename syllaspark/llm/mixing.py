@@ -68,8 +68,9 @@ class Plan:
         head = sources.agg(F.sum("tokens").alias("tokens"), F.count("*").alias("sources"), F.sum((F.col("tokens") > 0).cast("long")).alias("live"), F.sum("n").alias("n")).first()
         self.small = head["sources"] <= BROADCAST_SOURCES
         total, live = head["tokens"] or 0, head["live"] or 0
+        idle = int(budget_share is None)  # passes over a source without tokens
         if not total:
-            self.cuts = sources.select("of", *[F.lit(0).cast("long").alias(c) for c in ("source_budget", "passes", "rest")], F.lit(None).cast("string").alias("cut"))
+            self.cuts = sources.select("of", *[F.lit(n).cast("long").alias(c) for c, n in (("source_budget", 0), ("passes", idle), ("rest", 0))], F.lit(None).cast("string").alias("cut"))
             return
         budget = None if budget_share is None else budget_share * total
         measure = lambda tries: _measures(sources, tries, total, budget)
@@ -82,7 +83,7 @@ class Plan:
         whole = float(budget) if budget is not None else z / least
         share = F.floor(power / F.lit(z) * F.lit(whole)).cast("long")
         plan = sources.select("of", "tokens", (share if budget is not None else F.greatest("tokens", share)).alias("budget"))
-        plan = plan.select("of", F.col("budget").alias("source_budget"), F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).alias("passes"), F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("rest"))
+        plan = plan.select("of", F.col("budget").alias("source_budget"), F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(idle).alias("passes"), F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("rest"))
         plan = scratch.save(plan, "plan")
 
         digits = 2 + (head["n"] > 10**7) + (head["n"] > 10**9)
@@ -115,7 +116,8 @@ def mixture(docs: DataFrame, entropy_share: float = 0.95, most_passes: float = 4
     ``entropy_share`` is the target entropy as a share of the greatest possible;
     ``most_passes`` limits how often any source is repeated and outweighs the target.
     The budget is ``budget_share`` times all tokens; None asks for the least budget
-    that takes every source whole, so that mixing repeats documents and drops none.
+    that takes every source whole, so that mixing repeats documents and drops none;
+    a source without tokens is then taken once.
     """
     plan = Plan(docs, entropy_share, most_passes, budget_share, id_col, text_col, source_col, seed)
     out = plan.rows.join(plan.near(plan.cuts), "of")

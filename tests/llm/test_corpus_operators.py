@@ -285,3 +285,12 @@ def test_preference_pairs(spark):
     a, b = map(int, first["chosen_mask"].split(":"))
     assert first["n_shared"] == 3 and first["chosen"][a:b] == "good<|end|>\n" and first["prompt"].count("<|end|>") == 3
     assert preference.adjacent_pairs(frame.where("false")).count() == 0
+
+
+def test_mixing_keeps_sources_without_tokens(spark):
+    rows = [(1, "a b c", "x"), (2, "d", "y"), (3, " ", "z"), (4, None, "z"), (5, "", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [x["doc_id"] for x in mixing.mixed(frame).collect()]
+    assert set(got) == {1, 2, 3, 4, 5} and [got.count(k) for k in (3, 4, 5)] == [1, 1, 1]
+    assert sorted(x["doc_id"] for x in mixing.mixed(frame.where("doc_id > 2")).collect()) == [3, 4, 5]
+    assert {x["copies"] for x in mixing.mixture(frame.where("doc_id > 2")).collect()} == {0}
