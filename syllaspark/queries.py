@@ -177,7 +177,7 @@ def anonymize_general(spark, folder):
 
 @query()
 def anonymize_institutions(spark, folder):
-    return plans.clean(courses(spark, folder, registry=True)).select("doc_id", "institution_short", "course_plan")
+    return plans.clean(courses(spark, folder, registry=True, whole=True)).select("doc_id", "institution_short", "course_plan")
 
 
 # --- reports ---
@@ -347,7 +347,7 @@ def page_status(spark, folder):
 
 @query()
 def text_diff(spark, folder):
-    pairs = plans.version_pairs(plans.plan_versions(planned(spark, folder), "doc_id"), "extracted_text")
+    pairs = plans.version_pairs(plans.plan_versions(planned(spark, folder, whole=True), "doc_id"), "extracted_text")
     return pairs.select("institution_short", RAW, "number", unified(diff(F.col("old_text"), F.col("new_text"))).alias("changes"))
 
 

@@ -50,3 +50,11 @@ def test_scans_prune_and_push_down(spark):
     assert "PushedFilters" in plan and "ReadSchema" in plan
     keys = base.course_key(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "text" not in keys.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_every_text_counts_without_a_twin(spark, tmp_path):
+    rows = [(9, "one plan", "en", "s", 7), (18, "another plan", "en", "s", 7), (27, None, "en", "s", 7), (1, "third", "de", "s", 7)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    cleaned = {x["doc_id"]: x["course_plan"] for x in base.anonymize_institutions(spark, str(tmp_path)).collect()}
+    assert {k for k, t in cleaned.items() if t} == {1, 9, 18} and cleaned[27] is None
+    assert [(x["institution_short"], x["number"]) for x in base.text_diff(spark, str(tmp_path)).collect()] == [("en", 2)]
