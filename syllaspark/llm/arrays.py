@@ -7,16 +7,19 @@ tens of megabytes whatever the batch holds.  A single longer text is one slice.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 U = np.uint64
-_rng = np.random.default_rng(20240607)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Spans of up to eight times so many bytes are hashed in rounds.
+_ROUNDS = 4
+#: The first k bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
@@ -86,12 +89,24 @@ def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each byte span, by differences of one prefix sum."""
-    n = len(buf)
-    pw, inv = _power(n + 1)
-    sums = np.zeros(n + 1, U)
-    np.cumsum((_LOWER if lower else _BYTE)[buf] * pw[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inv[starts] + (ends - starts).astype(U))
+    """A 64-bit hash of each byte span: eight bytes a round, and a digest of spans beyond four rounds."""
+    if lower:
+        buf = _LOWER[buf]
+    size = ends - starts
+    padded = np.append(buf, np.zeros(8, np.uint8))
+    eight = np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+    out = mix(size.astype(U))
+    for k in range(_ROUNDS):
+        on = np.flatnonzero(size > 8 * k) if k else slice(None)
+        left = np.minimum(size[on] - 8 * k, 8)
+        out[on] = mix(out[on] ^ (eight[starts[on] + 8 * k] & _FIRST[left]), k + 1)
+        if k + 1 < _ROUNDS and not (size[on] > 8 * (k + 1)).any():
+            return out
+    long = np.flatnonzero(size > 8 * _ROUNDS)
+    view = memoryview(buf)
+    digests = [hashlib.blake2b(view[a:b], digest_size=8).digest() for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+    out[long] = np.frombuffer(b"".join(digests), "<u8")
+    return out
 
 
 def chained(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -105,10 +120,6 @@ def chained(hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def as_binary(chunks: list[np.ndarray]) -> pa.Array:
-    return pa.array([c.tobytes() for c in chunks], pa.binary())
-
-
 def has_letter_table() -> np.ndarray:
     """For each code point, whether Unicode counts it a letter."""
     import sys

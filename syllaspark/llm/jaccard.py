@@ -37,14 +37,14 @@ from .arrays import SLICE_BYTES, U, chained, mix, slices, span_hashes, tidy, wor
 from .components import connected_components
 
 GROUPS = 256
-#: Sets that one task joins at most on either side.
-PAGE = 64
+#: Sets of one key that a task joins at most on either side, where a component is too large for one task.
+PAGE = 1024
 #: Further rounds of stars for keys of more sets than a page, before what is apart is compared in full.
 THINNING = 1
 #: Up to this many candidate ids are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 300_000
-#: Sets of a candidate component that one task takes whole.
-SMALL = 64
+#: Sets, and elements of all of them, of a candidate component that one task takes whole.
+SMALL, ELEMENTS = 4096, 4_000_000
 #: (key, set) entries that a map task combines before it sends them on.
 BUFFER = 250_000
 
@@ -85,8 +85,9 @@ class Ranges:
         return int(np.searchsorted(self.upper, n))
 
     def spare(self, c: int) -> int:
+        """Ranges beyond those needed, so that a set may do without its poorest ones."""
         d = self.differ(self.upper[c])
-        return 3 + d // 16 if d else 0
+        return 3 + d // 4 if d else 0
 
     def parts(self, c: int) -> int:
         return self.differ(self.upper[c]) + 1 + self.spare(c)
@@ -100,8 +101,10 @@ class Ranges:
         """Keys of a sorted set: in its class, and in lower classes whose sets it can link with.
 
         A class's smaller sets differ in less, so a set takes only as many of the
-        ranges as its own size asks.  With no more empty ranges than are to spare,
-        a range that agrees and isn't empty is certain, and empty ones are no keys.
+        ranges as its own size asks.  Two sets that link agree on more ranges than are
+        to spare.  Each leaves out its ranges of few elements, no more than are to spare;
+        the set that leaves out the richer ones still has a range that agrees, and the
+        other, which leaves out poorer ones only, has it too.
         """
         n, out = len(own), []
         c = home = self.class_of(n)
@@ -110,9 +113,9 @@ class Ranges:
             k, spare = self.parts(c), self.spare(c)
             m = min(k, self.differ(n) + 1 + spare) if c == home else k
             at = np.concatenate([[0], np.searchsorted(own, self._cuts(k)[: m if m < k else k - 1]), [n] if m == k else []]).astype(np.int64)[: m + 1]
-            total, filled = sums[at[1:]] - sums[at[:-1]], np.diff(at) > 0
+            total, held = sums[at[1:]] - sums[at[:-1]], np.diff(at)
             key = mix(total + np.arange(m, dtype=U) * U(0xD6E8FEB86659FD93), c + 2)
-            out.append(key if m - int(filled.sum()) > spare else key[filled])
+            out.append(key[held >= np.partition(held, spare)[spare]])
             c -= 1
         return np.concatenate(out)
 
@@ -210,21 +213,25 @@ class CountTree:
         for first in range(0, len(self.order), run):  # within a run of like sizes, by counts
             part = self.order[first : first + run]
             self.order[first : first + run] = part[np.lexsort((counts[part, 2 % GROUPS], counts[part, 1 % GROUPS]))]
-        upper, low, high = counts[self.order], sizes[self.order], sizes[self.order]
+        self.kind = np.float32 if sizes.max(initial=0) < 1 << 22 else np.float64  # sums of whole numbers, exact in either
+        upper, low, high = counts[self.order].astype(self.kind), sizes[self.order], sizes[self.order]
         self.levels = [(upper, low, high)]
         while len(upper) > 1:
             cut = np.arange(0, len(upper), fan)
             upper, low, high = np.maximum.reduceat(upper, cut, axis=0), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
             self.levels.append((upper, low, high))
         self.fan = fan
+        self.ones = np.ones(GROUPS, self.kind)
 
     def search(self, counts: np.ndarray, size: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
         """(places, bounds on the overlap) of the sets that may link with a query, best bound first."""
-        at = np.zeros(1, np.int64)
+        at, counts = np.zeros(1, np.int64), counts.astype(self.kind)
         for depth in range(len(self.levels) - 1, -1, -1):
             upper, low, high = self.levels[depth]
-            bound = np.minimum(counts, upper[at]).sum(axis=1)
-            ok = ((num + den) * bound >= num * (size + low[at])) & (high[at] * den >= num * size) & (num * low[at] <= den * size)
+            fits = (high[at] * den >= num * size) & (num * low[at] <= den * size)
+            at = at[fits]
+            bound = np.minimum(counts, upper[at]) @ self.ones
+            ok = (num + den) * bound.astype(np.float64) >= num * (size + low[at])
             at, bound = at[ok], bound[ok]
             if depth:
                 at = (at[:, None] * self.fan + np.arange(self.fan)).ravel()
@@ -255,8 +262,8 @@ def to_point(counts: np.ndarray) -> bytes:
 
 
 def from_points(raw: list[bytes]) -> np.ndarray:
-    points = np.frombuffer(b"".join(raw), "<u2").reshape(-1, GROUPS).astype(np.int64)
-    points[points == MOST] = 1 << 40
+    points = np.frombuffer(b"".join(raw), "<u2").reshape(-1, GROUPS).astype(np.float32)
+    points[points == MOST] = np.inf
     return points
 
 
@@ -278,13 +285,13 @@ def near_points(left, right, sizes_left, sizes_right, labels_left, labels_right,
 
 def tree_join(sets: list[np.ndarray], num: int, den: int) -> list[int]:
     """For each set the least place that links connect it with."""
-    sizes, root = np.array([len(s) for s in sets]), list(range(len(sets)))
+    sizes, root = np.array([len(s) for s in sets]), np.arange(len(sets))
     for i, near in near_points(counted(sets), None, sizes, None, np.arange(len(sets)), None, num, den):
         for j in near.tolist():
             a, b = root[i], root[j]
             if a != b and links(sets[i], sets[j], num, den):
-                root = [min(a, b) if x in (a, b) else x for x in root]
-    return root
+                root[root == max(a, b)] = min(a, b)
+    return root.tolist()
 
 
 def _sets_of(width: int):
@@ -300,7 +307,7 @@ def _sets_of(width: int):
                     ok[i] = int(name[i]) not in told
                     told.add(int(name[i]))
                 rows = batch.slice(first, last - first).filter(pa.array(ok))
-                yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), rows.column(3), pa.array([s.tobytes() for s, k in zip(found, ok) if k], pa.binary())], names=["node", "comp", "size", "elements"])
+                yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), rows.column(3), pa.array([s.tobytes() for s, k in zip(found, ok) if k], pa.binary())], names=["node", "comp", "small", "elements"])
 
     return run
 
@@ -353,12 +360,13 @@ def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFram
     """(node, class) of every set that is a candidate for a link."""
     spark = plain.sparkSession
     labels = connected_components(edges, scratch)
-    sizes = scratch.save(labels.groupBy("label").agg(F.count("*").alias("size")), "sizes")
-    nodes = scratch.save(labels.join(sizes, "label").select("node", F.col("label").alias("comp"), "size"), "nodes")
-    firsts = scratch.save(members.join(nodes, "node").groupBy("node", "comp", "size").agg(F.min("id").alias("id")), "firsts")
+    firsts = scratch.save(members.join(labels, "node").groupBy("node", F.col("label").alias("comp")).agg(F.min("id").alias("id"), F.max("n").alias("n")), "firsts")
+    sizes = firsts.groupBy("comp").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"))
+    sizes = scratch.save(sizes.select("comp", ((F.col("sets") <= SMALL) & (F.col("elements") <= ELEMENTS)).alias("small")), "sizes")
+    firsts = scratch.save(firsts.join(sizes, "comp").select("id", "node", "comp", "small"), "firsts")
     picked = F.broadcast(firsts) if firsts.count() <= BROADCAST_IDS else firsts
-    texts = plain.join(picked, "id").select("text", "node", "comp", "size")
-    sets = scratch.save(texts.mapInArrow(tidy(_sets_of(width)), "node long, comp long, size long, elements binary"), "sets")
+    texts = plain.join(picked, "id").select("text", "node", "comp", "small")
+    sets = scratch.save(texts.mapInArrow(tidy(_sets_of(width)), "node long, comp long, small boolean, elements binary"), "sets")
 
     def small(batches):
         for _, rows in _by_key(batches, "comp"):
@@ -366,11 +374,10 @@ def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFram
             root = tree_join(found, num, den)
             yield _pairs([(r["node"], rows[k]["node"]) for r, k in zip(rows, root)], ("node", "class"))
 
-    little = sets.where(F.col("size") <= SMALL).repartition(tasks, "comp").sortWithinPartitions("comp").mapInArrow(tidy(small), "node long, class long")
-    if not sizes.where(F.col("size") > SMALL).limit(1).collect():
-        return little.distinct()
-    large = _large(nodes.where(F.col("size") > SMALL), sets.where(F.col("size") > SMALL), edges, scratch, num, den, tasks)
-    return little.distinct().unionByName(large)
+    little = sets.where("small").select("comp", "node", "elements").repartition(tasks, "comp").sortWithinPartitions("comp").mapInArrow(tidy(small), "node long, class long").distinct()
+    if not sizes.where("not small").limit(1).collect():
+        return little
+    return little.unionByName(_large(firsts.where("not small").select("node"), sets.where("not small"), edges, scratch, num, den, tasks))
 
 
 def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
@@ -389,7 +396,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
         for batch in batches:
             x, y = (from_points(batch.column(k).to_pylist()) for k in (3, 5))
             n = np.array(batch.column(2)) + np.array(batch.column(4))
-            ok = (num + den) * np.minimum(x, y).sum(axis=1) >= num * n
+            ok = (num + den) * np.minimum(x, y).sum(axis=1, dtype=np.float64) >= num * n
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
     def verify(batches):
@@ -410,12 +417,16 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
         return _relabelled(marked, found, scratch)
 
     stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b", "key"), "stars")
-    marked = connect(nodes.select("node", F.col("node").alias("label")), stars.select("a", "b").distinct())
+    pairs = scratch.save(stars.select("a", "b").distinct(), "pairs")
+    marked = connect(nodes.select("node", F.col("node").alias("label")), pairs)
 
-    # What is still apart is compared key by key, for sets that link share a key.  The star
-    # of a key of two sets has compared them already.
-    more_than_two = scratch.save(stars.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "more-than-two")
-    stars = scratch.save(stars.join(more_than_two, "key", "left_semi"), "stars")
+    # What a star leaves apart is compared key by key, for sets that link share a key.  The
+    # star of a key of two sets has compared them already.
+    label = lambda n: marked.select(F.col("node").alias(n), F.col("label").alias(f"label_{n}"))
+    apart = scratch.save(pairs.join(label("a"), "a").join(label("b"), "b").where("label_a <> label_b").select("a", "b"), "apart")
+    wanted = stars.join(apart, ["a", "b"], "left_semi").select("key").distinct()
+    wanted = wanted.join(stars.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key", "left_semi")
+    stars = scratch.save(stars.join(scratch.save(wanted, "wanted"), "key", "left_semi"), "open-stars")
     held_by = scratch.save(stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct(), "held-by")
     for turn in range(THINNING + 1):
         labelled = scratch.save(held_by.join(marked, "node"), "labelled")
