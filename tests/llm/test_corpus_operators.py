@@ -1,6 +1,7 @@
 """Joins, dedup, search, mixing and formatting against brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from syllaspark.llm import components, fmindex, jaccard, mixing, passages, preference, queries, recipes, topk
+from syllaspark.llm import arrays, components, fmindex, jaccard, mixing, passages, preference, queries, recipes, topk
 from syllaspark.llm.components import connected_components
 from syllaspark.session import Scratch
 
@@ -161,25 +162,45 @@ def test_passages(spark, monkeypatch, common, shard):
     assert sorted(_duck(queries.ORACLES["op9_passages"], documents=pd.DataFrame(rows, columns=["doc_id", "text"]))) == _passages(rows, 13)
 
 
-def test_fm_index_intervals():
+def test_matching_statistics():
     r = np.random.default_rng(8)
     sizes = r.integers(5, 30, 40)
     flat = r.integers(0, 3, sizes.sum()).astype(np.uint64)
-    index, ends = fmindex.FmIndex(flat, sizes), np.cumsum(sizes)
+    ends = np.cumsum(sizes)
     begin = ends - sizes
-    for length in (1, 3, 5):
-        last = np.concatenate([np.arange(b + length - 1, e) for b, e in zip(begin, ends)])
-        low, high = index.intervals(last, length)
+    for limit in (1, 3, 5, 13):
+        index = fmindex.FmIndex(flat, sizes, limit)
+        last = np.concatenate([np.arange(b + min(limit, e - b) - 1, e) for b, e in zip(begin, ends)])
+        length, low, high = index.statistics(last, limit)
         values = r.permutation(40)
-        least = index.least(values, low, high)
         where = defaultdict(list)
         for d, (b, e) in enumerate(zip(begin, ends)):
-            for j in range(b, e - length + 1):
-                where[tuple(flat[j : j + length])].append(d)
-        for n, e in enumerate(last):
-            own = where[tuple(flat[e - length + 1 : e + 1])]
-            assert least[n] == min(values[own])
-            assert high[n] - low[n] == len(own) or high[n] - low[n] == 1
+            for n in range(1, limit + 1):
+                for j in range(b, e - n + 1):
+                    where[tuple(flat[j : j + n])].append(d)
+        room = np.minimum(limit, last - begin[np.searchsorted(ends, last, "right")] + 1)
+        want = [max([n for n in range(1, m + 1) if len(where[tuple(flat[e - n + 1 : e + 1])]) > 1], default=0) for e, m in zip(last, room)]
+        whole = room == limit
+        assert (length[whole] == np.array(want)[whole]).all()
+        full = np.flatnonzero(whole & (length == limit))
+        for n, least in zip(full, index.least(values, low[full], high[full])):
+            own = where[tuple(flat[last[n] - limit + 1 : last[n] + 1])]
+            assert least == min(values[own]) and high[n] - low[n] == len(own)
+
+
+def test_words_that_one_prefix_sum_confuses(spark):
+    word = lambda n, flip: "".join("ab"[bin(i).count("1") % 2 ^ flip] for i in range(n))
+    texts = []
+    for n in (8, 32, 33, 1024, 2048, 4096):
+        for flip in (0, 1):
+            texts += [" ".join([word(n, flip)] * 2 + ["w" + str(k) for k in range(30)]), word(n, flip)]
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(x) for x in jaccard.near_groups(frame, 4, 85, 100).collect()) == _groups(rows, 4, 85, 100)
+    assert sorted(tuple(x) for x in passages.repeated_passages(frame).collect()) == _passages(rows, 13)
+    buf = "".join(word(2048, f) for f in (0, 1)).encode()
+    a, b = arrays.span_hashes(np.frombuffer(buf, np.uint8), np.array([0, 2048]), np.array([2048, 4096]))
+    assert a != b
 
 
 def _vectors(spark):
@@ -189,24 +210,43 @@ def _vectors(spark):
     return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit(0))
 
 
+def _scores(rows, k=5):
+    """(query, rank, id, score) with Python's whole numbers, every row a candidate of its own."""
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    found = defaultdict(list)
+    for q, v in good:
+        if q % 50 == 0:
+            found[q] += [(-sum(a * b for a, b in zip(v, w)), c) for c, w in good if c != q and len(w) == len(v)]
+    return sorted((q, n, c, -s) for q, own in found.items() for n, (s, c) in enumerate(sorted(own)[:k], 1))
+
+
 def test_top_k(spark):
     rows, frame = _vectors(spark)
-    good = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()]
-    want = []
-    for q, v in {(q, tuple(v)) for q, v in good if q % 50 == 0}:
-        best = sorted({(-int(np.dot(v, w)), c) for c, w in good if c != q and len(w) == len(v)})
-        want.append((q, best))
-    got = defaultdict(list)
-    for x in topk.top_k(frame, F.col("vec_id") % 50 == 0, k=5, shard_rows=40).collect():
-        got[x["query_id"]].append((x["rank"], -x["score"], x["vec_id"]))
-    for q, best in want:
-        if q != 50:  # two vectors share this id: best of both
-            assert [x[1:] for x in sorted(got[q])] == best[:5], q
-            assert [x[0] for x in sorted(got[q])] == list(range(1, len(best[:5]) + 1))
-    assert not got[500] and not got[300]
+    assert sorted(tuple(x) for x in topk.top_k(frame, F.col("vec_id") % 50 == 0, k=5, shard_rows=40).collect()) == _scores(rows)
     assert topk.top_k(frame.where("false"), F.lit(True)).count() == 0
 
 
+def test_top_k_equals_its_sql(spark):
+    big = [(i, [1.0, float(1e7 + i)]) for i in range(60)] + [(50, [-1.0, 2.0]), (100, [])]
+    few = [(0, [1.0, 2.0, 3.0]), *[(1, [3.0, 3.0, 3.0])] * 3, *[(k, [0.1 * k, 1.0, 0.5]) for k in range(2, 10)], (100, []), (7, [])]
+    for rows in (few, big, _vectors(spark)[0]):
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = sorted(tuple(x) for x in topk.top_k(frame, F.col("vec_id") % 50 == 0, k=5, shard_rows=8).collect())
+        table = pd.DataFrame(rows, columns=["vec_id", "embedding"]).astype({"vec_id": "Int64"})
+        assert got == sorted(_duck(queries.ORACLES["op3_top_k"], embeddings=table)) == _scores(rows)
+    assert [x[2] for x in sorted(_scores(few))[:5]] == [1, 1, 1, 9, 8]
+
+
+def test_top_k_sums_whole_numbers(spark):
+    rows = [(i, [float(2**20 + i), float(-(2**19)), 1 / 256, float(i % 3)] * 4) for i in range(120)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = _scores(rows)
+    assert max(abs(x[3]) for x in want) > 2**53
+    assert sorted(tuple(x) for x in topk.top_k(frame, F.col("vec_id") % 50 == 0, k=5, shard_rows=50).collect()) == want
+    huge = spark.createDataFrame([(0, [1e18]), (1, [1e18]), (2, [-1e18])], "vec_id long, embedding array<double>")
+    assert [x["score"] for x in topk.top_k(huge, F.col("vec_id") == 0).orderBy("rank").collect()] == [2**63 - 1, -(2**63)]
+
+
 def _duck(sql, **tables):
     con = duckdb.connect()
     for name, frame in tables.items():
