@@ -5,20 +5,21 @@ word's probability is the sum over all its segmentations into pieces, which a
 forward pass computes; a text's is the product over its words.  The probabilities
 are fitted by expectation maximisation on a bounded sample of labelled rows.
 
-Rows: one output row per input row.  A null text, or one without a letter, is
-``und`` with score 0, and so is every text when no row is labelled.  Ties go to the
-language that sorts first.  Repeated rows are predicted alike; columns other than
-those named are not read.
+Rows: one output row per input row.  A null text, or one without a letter (Unicode
+category L; number signs are none), is ``und`` with score 0, and so is every text when
+no row is labelled.  Ties go to the language that sorts first.  Repeated rows are
+predicted alike; columns other than those named are not read.  More than ``LANGUAGES``
+labels are an error, as a model holds the vocabulary once for each.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import read_ranks
@@ -26,10 +27,12 @@ from .mapping import map_text
 
 #: Longest piece, in bytes, that a segmentation may use.
 LONGEST = 16
-#: Labelled rows of each language that a fit takes, in expectation.
-SAMPLE = 250
+#: Labelled rows of each language that a fit takes at most, and languages.
+SAMPLE, LANGUAGES = 250, 1000
+#: Words of more bytes are scored block by block, in blocks of so many.
+LONG = 4096
 UND = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 _B = np.uint64(0x100000001B3)
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -132,10 +135,38 @@ class Model:
         """Log-probability of each word in each language."""
         out = np.zeros((len(words), len(self.languages)))
         for rows, grid in _grids(words):
+            if grid.shape[1] > LONG:
+                out[rows] = [self._long_score(line) for line in grid]
+                continue
             alpha, scale = _forward(self.vocabulary.spans(grid), self.prob)
             out[rows] = np.log(alpha[-1]) + scale[-1][:, None]
         return out
 
+    def _long_score(self, line: np.ndarray) -> np.ndarray:
+        """The same for one word of any length, with memory for one block."""
+        none, k = self.vocabulary.size, len(self.languages)
+        alpha, scale = np.zeros((LONGEST, k)), 0.0  # of the last places, the nearest one last
+        alpha[-1] = 1
+        for first in range(0, len(line), LONG):
+            base, stop = max(0, first - LONGEST + 1), min(len(line), first + LONG)
+            ids = self.vocabulary.spans(line[None, base:stop])[:, 0]
+            ending = np.full((stop - first, LONGEST), none)
+            for l in range(len(ids)):  # pieces of l + 1 bytes by the place where they end
+                begin = np.arange(first, stop) - l
+                ok = begin >= base
+                ending[ok, LONGEST - 1 - l] = ids[l, begin[ok] - base]
+            prob = self.prob[ending]
+            run = np.vstack([alpha, np.zeros((stop - first, k))])
+            for j in range(stop - first):
+                run[j + LONGEST] = (run[j : j + LONGEST] * prob[j]).sum(axis=0)
+                if j % 8 == 7:
+                    top = run[j + LONGEST].max()
+                    run[j + 1 : j + LONGEST + 1] /= top
+                    np.maximum(run[j + LONGEST], 1e-290, out=run[j + LONGEST])
+                    scale += np.log(top)
+            alpha = run[-LONGEST:]
+        return np.log(np.maximum(alpha[-1], 1e-300)) + scale
+
 
 def fit(vocabulary: Vocabulary, counts: dict[str, Counter], rounds: int = 3, smooth: float = 0.5) -> Model:
     """Expectation maximisation for each language on its words' counts.
@@ -164,7 +195,7 @@ def fit(vocabulary: Vocabulary, counts: dict[str, Counter], rounds: int = 3, smo
                 for l in range(longest):
                     for i in range(width - l):
                         j = width - i - l - 1
-                        share = np.exp(np.minimum(np.log(alpha[i, :, 0] * beta[j, :, 0]) + a_scale[i] + b_scale[j] - total, 0)) * p[ids[l, :, i]]
+                        share = np.exp(np.minimum(np.log(alpha[i, :, 0] * beta[j, :, 0]) + a_scale[i] + b_scale[j] - total, 700)) * p[ids[l, :, i]]
                         np.add.at(seen, ids[l, :, i], share * often[rows])
             seen[-1] = 0
             p = seen + smooth / vocabulary.size * max(1.0, seen.sum() / 1000)
@@ -177,23 +208,23 @@ def fit(vocabulary: Vocabulary, counts: dict[str, Counter], rounds: int = 3, smo
 def learn(labelled: DataFrame, vocabulary_file: str, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> Model | None:
     """A model from labelled rows; None when there are none.
 
-    ``sample`` bounds, in expectation, the rows of each language that come to the
-    driver: rows are taken by a hash of their id at a rate that the languages'
-    counts give.  Counts cover all labelled rows.
+    ``sample`` bounds the rows of each language whose words are counted: those that come
+    first by a hash of id and text.  Only words and their counts come to the driver.
     """
-    rows = labelled.where(labelled[lang_col].isNotNull() & labelled[text_col].isNotNull()).select(labelled[id_col].alias("id"), labelled[lang_col].cast("string").alias("lang"), labelled[text_col].alias("text"))
-    rates = {r["lang"]: min(1.0, sample / r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not rates:
+    rows = labelled.where(labelled[lang_col].isNotNull() & labelled[text_col].isNotNull()).select(labelled[id_col].cast("string").alias("id"), labelled[lang_col].cast("string").alias("lang"), labelled[text_col].alias("text"))
+    hashed = F.xxhash64("id", "text", F.lit("language sample"))
+    ranked = lambda frame: frame.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).where(F.col("at") <= sample)
+    edges = ranked(rows.select("lang", hashed.alias("hash"))).groupBy("lang").agg(F.max("hash").alias("edge")).limit(LANGUAGES + 1).collect()
+    if len(edges) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    if not edges:
         return None
-    even = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rate: Column | None = None
-    for language, share in rates.items():
-        rate = (F.when if rate is None else rate.when)(F.col("lang") == language, share)
-    taken = rows.where(even <= rate).select("lang", "text").collect()
-    counts: dict[str, Counter] = {language: Counter() for language in rates}
-    for r in taken:
-        counts[r["lang"]].update(_LETTERS.findall(r["text"].lower()))
-    counts = {k: v for k, v in counts.items() if v}
+    upto = F.broadcast(labelled.sparkSession.createDataFrame([tuple(r) for r in edges], "lang string, edge long"))
+    taken = ranked(rows.join(upto, "lang").where(hashed <= F.col("edge")).select("lang", "text", hashed.alias("hash")))  # of equal rows no more than asked
+    words = taken.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    counts: dict[str, Counter] = {}
+    for r in words.groupBy("lang", "word").agg(F.count("*").alias("n")).toLocalIterator():
+        counts.setdefault(r["lang"], Counter())[r["word"]] = r["n"]
     if not counts:
         return None
     return fit(Vocabulary(list(read_ranks(vocabulary_file))), counts)
