@@ -5,7 +5,7 @@ of which a least number is asked.  All rules are compiled together by subset
 construction into one transition array, which is then minimised; one pass over
 the bytes runs it for all rules at once, many pieces of text in lockstep.
 
-Rows: each input row gives one output row.  A null or empty text has no finding.
+Rows: each input row gives one output row, whatever its length.  A null or empty text has no finding.
 Repeated rows and ids are scanned each by itself.  Columns other than id and text
 are not read.
 """
@@ -250,14 +250,37 @@ def compiled(rules: tuple[Rule, ...]) -> Automaton:
     return Automaton(rules, (table * 256).astype(np.int32).ravel(), says.astype(np.int32), int((says == 0).sum()) * 256, resets, [_backwards(r) for r in rules])
 
 
-LANE = 256
+#: Bytes of a lane, about; of a part of a stretch without a reset; and bytes before a part from which its first state is guessed.
+LANE, PART, LEAD = 256, 4096, 256
+
+
+def _lockstep(auto: Automaton, buf: np.ndarray, begin: np.ndarray, length: np.ndarray, state: np.ndarray):
+    """(last state of each lane, and of each report the lane, position and state)."""
+    by = np.argsort(-length, kind="stable")
+    begin, length, state = begin[by], length[by], state[by].astype(np.int32)
+    active = np.searchsorted(-length, -np.arange(length[0]), "left") if len(by) else []
+    lane, where, what = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for t in range(len(active)):
+        a = int(active[t])
+        s = auto.next.take(state[:a] + buf.take(begin[:a] + t))
+        state[:a] = s
+        told = np.flatnonzero(s >= auto.low)
+        if len(told):
+            lane.append(by[told])
+            where.append(begin[told] + t)
+            what.append(s[told])
+    last = np.empty(len(by), np.int32)
+    last[by] = state
+    return last, np.concatenate(lane), np.concatenate(where), np.concatenate(what)
 
 
 def hits(auto: Automaton, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions at which some rule reports, and the rules' bits, from one pass over the bytes.
 
-    The bytes are cut into lanes after bytes that reset the automaton, and at the
-    ends of texts; the lanes run in lockstep, the longest first.
+    The bytes are cut into lanes after bytes that reset the automaton, and at the ends
+    of texts; the lanes run in lockstep, the longest first.  A stretch that no byte
+    resets is cut into parts, whose first states are guessed from the bytes before them;
+    a part whose guess the part before it belies runs again.
     """
     n = len(buf)
     if not n:
@@ -269,24 +292,27 @@ def hits(auto: Automaton, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray
     begin = np.unique(np.concatenate([offs[:-1], cut]))
     begin = begin[begin < n]
     length = np.diff(np.append(begin, n))
-    by = np.argsort(-length, kind="stable")
-    begin, length = begin[by], length[by]
-    active = np.searchsorted(-length, -np.arange(length[0]), "left")
+    many = np.where(length > 2 * PART, -(-length // PART), 1)
+    guessed = np.ones(int(many.sum()), bool)  # parts other than the first of their lane
+    guessed[np.cumsum(many) - many] = False
+    begin = np.repeat(begin, many) + PART * (np.arange(len(guessed)) - np.repeat(np.cumsum(many) - many, many))
+    length = np.diff(np.append(begin, n))
     state = np.zeros(len(begin), np.int32)
-    where, what = [], []
-    for t in range(int(length[0])):
-        a = int(active[t])
-        s = auto.next.take(state[:a] + buf.take(begin[:a] + t))
-        state[:a] = s
-        told = np.flatnonzero(s >= auto.low)
-        if len(told):
-            where.append(begin[told] + t)
-            what.append(s[told] >> 8)
-    if not where:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    where, what = np.concatenate(where), auto.says[np.concatenate(what)]
+    follow = np.flatnonzero(guessed)
+    state[follow] = _lockstep(auto, buf, begin[follow] - LEAD, np.full(len(follow), LEAD), state[follow])[0]
+    last, lane, where, what = _lockstep(auto, buf, begin, length, state)
+    while True:
+        wrong = follow[state[follow] != last[follow - 1]]
+        if not len(wrong):
+            break
+        whole = np.cumsum(~guessed)[wrong]  # of each wrong part its stretch; the first one follows a part that is right
+        first = np.unique(whole, return_index=True)[1]
+        state[wrong] = last[wrong[first] - 1][np.searchsorted(whole[first], whole)]  # what held there often holds on
+        last[wrong], new, at, says = _lockstep(auto, buf, begin[wrong], length[wrong], state[wrong])
+        stay = ~np.isin(lane, wrong)
+        lane, where, what = (np.append(x[stay], y) for x, y in ((lane, wrong[new]), (where, at), (what, says)))
     by = np.argsort(where, kind="stable")
-    return where[by], what[by]
+    return where[by], auto.says[what[by] >> 8]
 
 
 def found(auto: Automaton, buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -333,10 +359,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             rows = found(auto, buf, offs)
             doc = np.array([r[0] for r in rows], np.int64)
             ends = np.array([[r[1], r[3]] for r in rows], np.int64).reshape(-1, 2)
-            for d in np.unique(doc):  # bytes to code points
-                inside = (buf[offs[d] : offs[d + 1]] & 0xC0) == 0x80
-                before = np.append(0, np.cumsum(inside))
-                ends[doc == d] -= before[ends[doc == d]]
+            inner = np.flatnonzero((buf & 0xC0) == 0x80)  # bytes to code points
+            ends -= np.searchsorted(inner, offs[doc][:, None] + ends) - np.searchsorted(inner, offs[doc])[:, None]
             spans = pa.StructArray.from_arrays([kinds.take(pa.array([r[2] for r in rows], pa.int32())), pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["kind", "start", "end"])
             return [pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(offs))), pa.int32()), spans)]
 
