@@ -13,6 +13,9 @@ alone).  Rows of equal id are ordered by text; a null id comes first and is read
 back as null.  Columns other than id and text are not read.  With ``added_tokens`` ids
 are what the library gives by default, so that an added token of the tokenizer that
 stands in a text is one id; without, it is encoded like any other characters.
+
+Where pyarrow opens the folder, files stand in it under their names.  For folders that
+only Spark opens, the same bytes stand in the list of files, which Spark writes.
 """
 
 from __future__ import annotations
@@ -84,9 +87,41 @@ def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, sizes, by_rank[ranks].astype("<u4")
 
 
+def opened(folder: str):
+    """(pyarrow's file system, path) of a folder; None where pyarrow can't open it."""
+    from pyarrow import fs
+
+    for scheme in ("s3a://", "s3n://"):
+        folder = folder.replace(scheme, "s3://", 1) if folder.startswith(scheme) else folder
+    try:
+        return fs.FileSystem.from_uri(folder)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return None
+
+
+def publish(store, base: str, name: str, attempt: int, data: bytes) -> None:
+    """Let a whole file appear under its name; where an earlier attempt at the task wrote it, that one stays."""
+    from pyarrow import fs
+
+    there = lambda: store.get_file_info(f"{base}/{name}").type == fs.FileType.File
+    if there():
+        return
+    own = f"{base}/_{name}.{attempt}"
+    with store.open_output_stream(own) as out:
+        out.write(data)
+    try:
+        store.move(own, f"{base}/{name}")
+    except OSError:
+        if not there():
+            raise
+        store.delete_file(own)
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS, added_tokens: bool = False) -> DataFrame:
     """Write the files below ``folder``; the list of files (name, n_docs, n_ids), by name in document order.
 
+    The list has the bytes too (content), but they are null where the files stand in the folder.
+
     Rows are dealt out by ranges of the id, so one shuffle orders the whole corpus.
     A file appears under its name only when it is whole, and a repeated task writes
     the same bytes again, so that lost executors leave no trace.
@@ -99,7 +134,6 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
-        from pyarrow import fs
         from tokenizers import Tokenizer
 
         def tools():
@@ -147,7 +181,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
             return whole
 
         ids_of = kept(("library", tokenizer_file, pattern, added_tokens), tools)
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = opened(folder) if direct else (None, "")
         part, done = TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
@@ -157,11 +191,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
             held.clear()
             name = f"{part:07d}-{done:06d}.tok"
             done += 1
-            attempt = f"{base}/_{name}.{TaskContext.get().taskAttemptId()}"
-            with store.open_output_stream(attempt) as out:
-                out.write(pack(doc_ids, sizes, ids))
-            store.move(attempt, f"{base}/{name}")
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(doc_ids)]), pa.array([len(ids)])], names=["name", "n_docs", "n_ids"])
+            data = pack(doc_ids, sizes, ids)
+            if store is not None:
+                publish(store, base, name, TaskContext.get().taskAttemptId(), data)
+            content = pa.array([data if store is None else None], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(doc_ids)]), pa.array([len(ids)]), content], names=["name", "n_docs", "n_ids", "content"])
 
         for batch in batches:
             column = batch.column(1)
@@ -175,10 +209,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, pattern
         if held:
             yield flush()
 
-    spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
+    direct = opened(folder) is not None
+    if direct:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     rows = rows.repartitionByRange(tasks_for(docs, 16 << 20), "id").sortWithinPartitions("id", "text")
-    return rows.mapInArrow(run, "name string, n_docs long, n_ids long")
+    return rows.mapInArrow(run, "name string, n_docs long, n_ids long, content binary")
 
 
 def read_token_files(files: DataFrame, folder: str, digests: bool = False) -> DataFrame:
@@ -193,8 +230,12 @@ def read_token_files(files: DataFrame, folder: str, digests: bool = False) -> Da
     listed = files.select("name", (F.sum("n_ids").over(Window.orderBy("name")) - F.col("n_ids")).alias("base"))
     if files.count() <= BROADCAST_FILES:
         listed = F.broadcast(listed)
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
-    raw = raw.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").join(listed, "name")
+    if files.where("content is not null").limit(1).count():
+        raw = files.select("name", "content")
+    else:
+        raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
+        raw = raw.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+    raw = raw.join(listed, "name")
     what = "ids_crc32 long" if digests else "ids array<int>"
 
     def run(batches):

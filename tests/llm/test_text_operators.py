@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -49,6 +50,23 @@ def test_secrets_match_the_expressions(spark):
         assert {x[2] for x in found} <= set(got[k]["spans"].split(","))
 
 
+def test_secrets_in_long_stretches_without_a_reset(monkeypatch):
+    auto = secrets.compiled(secrets.DEFAULT)
+    r = random.Random(8)
+    blob = lambda n, of: "".join(r.choice(of) for _ in range(n))
+    texts = ["token=" + blob(3000, "0123456789abcdef"), blob(500, "xyzABC") + "AKIA" + blob(900, "AQ7") + "xx" + blob(700, "0a"), "password:" + blob(60, "ab") + "é" + blob(900, "gz"), "", "://a:" + blob(2000, "bc") + "@" + blob(40, "ef9")]
+    raw = [t.encode() for t in texts]
+    buf, offs = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    want = secrets.found(auto, buf, offs)
+    assert len(want) >= 5
+    monkeypatch.setattr(secrets, "PART", 64)
+    monkeypatch.setattr(secrets, "LEAD", 32)
+    assert secrets.found(auto, buf, offs) == want
+    monkeypatch.undo()
+    long = b"secret=" + b"0f" * 1_000_000
+    assert secrets.found(auto, np.frombuffer(long, np.uint8), np.array([0, len(long)]))[0] == (0, 0, 0, len(long))
+
+
 def test_secrets_added_kinds(spark):
     texts = ["Authorization: Bearer abcdefghijkl.mno", "postgres://user:pa-ss@host/db", "-----BEGIN RSA PRIVATE KEY-----"]
     rows = secrets.find_secrets(_docs(spark, texts)).orderBy("doc_id").collect()
@@ -116,6 +134,26 @@ def test_token_files_match_added_tokens(spark, tmp_path):
     assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [31373, 220, 50256, 995]
 
 
+def test_token_files_of_a_repeated_task(spark, tmp_path, monkeypatch):
+    docs = _docs(spark, EDGE + _texts(40, PARTS, 20, 12))
+    folder = f"file://{tmp_path}/files"
+    once = tokenfiles.write_token_files(docs, folder, TOKENIZER, P.PATTERN, file_ids=100).collect()
+    before = {p.name: p.read_bytes() for p in (tmp_path / "files").iterdir() if p.name.endswith(".tok")}
+    files = spark.createDataFrame(tokenfiles.write_token_files(docs, folder, TOKENIZER, P.PATTERN, file_ids=100).collect(), "name string, n_docs long, n_ids long, content binary")
+    after = {p.name: p.read_bytes() for p in (tmp_path / "files").iterdir() if p.name.endswith(".tok")}
+    assert before == after and len(before) == len(once) > 2
+    want = sorted(tuple(x) for x in tokenfiles.read_token_files(files, folder, digests=True).collect())
+    assert want == sorted(tuple(x) for x in tokenfiles.token_file_report(docs, TOKENIZER, P.PATTERN).collect())
+
+
+def test_token_files_where_only_spark_opens_the_folder(spark, tmp_path, monkeypatch):
+    assert tokenfiles.opened("viewfs://store/x") is None and tokenfiles.opened(f"file://{tmp_path}") is not None
+    docs = _docs(spark, EDGE + ["some words", "more"])
+    want = sorted(tuple(x) for x in tokenfiles.token_file_report(docs, TOKENIZER, P.PATTERN).collect())
+    monkeypatch.setattr(tokenfiles, "opened", lambda folder: None)
+    assert sorted(tuple(x) for x in tokenfiles.token_file_report(docs, TOKENIZER, P.PATTERN).collect()) == want
+
+
 def test_packing_of_wide_ids():
     r = np.random.default_rng(2)
     ids = np.concatenate([np.arange(70_000), r.integers(0, 300, 50_000)]).astype(np.int64)
@@ -140,14 +178,14 @@ def _labelled(spark, n=240):
 
 
 def test_language_on_held_out_rows(spark):
-    docs = _labelled(spark).unionByName(spark.createDataFrame([(1000, None, "en"), (1001, "", "en"), (1002, "123 !!", "de"), (None, "the and", "en"), (1003, "THE AND THAT", None)], "doc_id long, text string, lang string"))
+    docs = _labelled(spark).unionByName(spark.createDataFrame([(1000, None, "en"), (1001, "", "en"), (1002, "123 !!", "de"), (1004, "½ ²", "en"), (1005, "Ⅷ ① ٣", "de"), (None, "the and", "en"), (1003, "THE AND THAT", None)], "doc_id long, text string, lang string"))
     rows = langid.language_report(docs, MULTI).join(docs.select("doc_id", F.col("lang").alias("truth")), "doc_id", "left").collect()
     by = {r["doc_id"]: r for r in rows if r["doc_id"] is not None}
     assert len(rows) == docs.count()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in by.values())
     own = [r for k, r in by.items() if r["held_out"] and k < 1000]
     assert len(own) > 50 and sum(r["lang_pred"] == r["truth"] for r in own) / len(own) > 0.97
-    assert all((by[k]["lang_pred"], by[k]["score"]) == ("und", 0.0) for k in (1000, 1001, 1002))
+    assert all((by[k]["lang_pred"], by[k]["score"]) == ("und", 0.0) for k in (1000, 1001, 1002, 1004, 1005))
     assert by[1003]["lang_pred"] == "en" and all(0 <= r["score"] <= 1 for r in rows)
     nothing = langid.language_report(docs.withColumn("lang", F.lit(None).cast("string")), MULTI)
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
@@ -176,3 +214,59 @@ def test_forward_sums_all_segmentations():
         for k in (0, 1):
             assert got[i, k] == pytest.approx(np.log(brute(b" " + w.encode(), k)))
     assert np.isfinite(model.word_scores(["ab" * 3000])).all()
+
+
+def test_long_words_are_scored_alike(monkeypatch):
+    vocabulary = langid.Vocabulary([b"ab", b"abc", b" a", b"bc", b"abababababababab"])
+    prob = np.vstack([np.random.default_rng(4).random((vocabulary.size, 3)) / 50, np.zeros((1, 3))])
+    model = langid.Model(["x", "y", "z"], vocabulary, prob)
+    words = ["ab" * n + "c" * (n % 3) for n in (20, 33, 50, 64, 65, 700)] + ["é" * 90]
+    want = model.word_scores(words)
+    monkeypatch.setattr(langid, "LONG", 32)
+    assert model.word_scores(words) == pytest.approx(want)
+    monkeypatch.undo()
+    one = model.word_scores(["abc" * 350_000])
+    assert one == pytest.approx(100 * (model.word_scores(["abc" * 7000]) - model.word_scores(["abc" * 3500])), rel=1e-3)
+
+
+def _segmentations(raw, vocabulary):
+    if not raw:
+        yield []
+    for n in range(1, min(len(raw), langid.LONGEST) + 1):
+        h = 0
+        for b in raw[:n]:
+            h = (h * int(langid._B) + b + 1) & (2**64 - 1)
+        piece = vocabulary.find(np.array([h], np.uint64))[0]
+        if piece < vocabulary.size:
+            for rest in _segmentations(raw[n:], vocabulary):
+                yield [piece, *rest]
+
+
+def test_fit_counts_posteriors():
+    vocabulary = langid.Vocabulary([b"ab", b"abc", b" a", b"bc", b"ca", b" ab"])
+    counts = {"x": {"abc": 3, "cab": 1, "é": 2}, "y": {"bcab": 5}}
+    model = langid.fit(vocabulary, {k: Counter(v) for k, v in counts.items()}, rounds=2)
+    for k, language in enumerate(["x", "y"]):
+        p = np.full(vocabulary.size, 1 / vocabulary.size)
+        for _ in range(2):
+            seen = np.zeros(vocabulary.size)
+            for word, often in counts[language].items():
+                ways = list(_segmentations(b" " + word.encode(), vocabulary))
+                weight = np.array([np.prod(p[w]) for w in ways])
+                for w, share in zip(ways, weight / weight.sum()):
+                    np.add.at(seen, w, share * often)
+            p = seen + 0.5 / vocabulary.size * max(1.0, seen.sum() / 1000)
+            p /= p.sum()
+        assert model.prob[:-1, k] == pytest.approx(p)
+
+
+def test_language_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(7, f"word{k % 5} the and", "en") for k in range(500)] + [(k, "der die das", "de") for k in range(300)], "doc_id long, text string, lang string")
+    seen = {}
+    real = langid.fit
+    try:
+        langid.fit = lambda vocabulary, counts: seen.update(counts)
+        langid.learn(docs, MULTI, sample=20)
+    finally:
+        langid.fit = real
+    assert {k: v["the"] or v["der"] for k, v in seen.items()} == {"en": 20, "de": 20}
