@@ -47,9 +47,13 @@ class Wavelet:
 
 
 class FmIndex:
-    """An index of many sequences, given end to end; a separator of its own ends each."""
+    """An index of many sequences, given end to end; a separator of its own ends each.
 
-    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+    Suffixes are ordered by their first ``limit`` symbols, which is enough to search
+    patterns of up to that many.
+    """
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray, limit: int):
         m = len(sizes)
         self.alphabet, symbol = np.unique(flat, return_inverse=True)
         ends = np.cumsum(sizes)
@@ -59,14 +63,15 @@ class FmIndex:
         text[self.place] = symbol + m
         text[ends + np.arange(m)] = np.arange(m)
         n = len(text)
-        rank, width, longest = text.copy(), 1, int(sizes.max()) + 1 if m else 1
-        order = np.argsort(rank, kind="stable")
+        rank, width, longest = text.copy(), 1, min(limit, int(sizes.max()) + 1 if m else 1)
+        order = np.argsort(rank)
         while width < longest:  # prefix doubling; separators differ, so no common prefix is longer than a sequence
             after = np.zeros(n, np.int64)
             after[: n - width] = rank[width:] + 1
             both = rank * (n + m + 2 + len(self.alphabet)) + after
-            order = np.argsort(both, kind="stable")
-            step = np.append(0, np.cumsum(both[order][1:] != both[order][:-1]))
+            order = np.argsort(both)
+            now = both[order]
+            step = np.append(0, np.cumsum(now[1:] != now[:-1]))
             rank[order] = step
             width *= 2
         self.order = order
@@ -76,26 +81,29 @@ class FmIndex:
         self.before = np.append(0, np.cumsum(np.bincount(text, minlength=self.symbols)))[:-1]
         self.symbol = symbol + m
 
-    def intervals(self, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix intervals of the ``length`` symbols that end at each of the given places of the flat input.
+    def statistics(self, last: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of places of the flat input: (length, interval's ends).
 
-        The patterns come from the indexed sequences, so each has at least its own
-        occurrence; a search stops where that is the only one left, with an
-        interval of one.
+        The length is that of the longest run of symbols that ends at a place and occurs
+        elsewhere too, up to ``limit``; the interval is of that run's suffixes.  A search
+        stops where a place's own occurrence is the only one left.
         """
         low, high = np.zeros(len(last), np.int64), np.full(len(last), self.size, np.int64)
-        live = np.arange(len(last))
-        for k in range(length):
+        length, live = np.zeros(len(last), np.int64), np.arange(len(last))
+        for k in range(limit):
             c = self.symbol[last[live] - k]
-            low[live] = self.before[c] + self.wavelet.rank(c, low[live])
-            high[live] = self.before[c] + self.wavelet.rank(c, high[live])
-            live = live[high[live] - low[live] > 1]
+            a = self.before[c] + self.wavelet.rank(c, low[live])
+            b = self.before[c] + self.wavelet.rank(c, high[live])
+            more = b - a > 1
+            live = live[more]
             if not len(live):
                 break
-        return low, high
+            low[live], high[live] = a[more], b[more]
+            length[live] += 1
+        return length, low, high
 
     def least(self, values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """For each interval the least of the sequences' values in it; wider ones must be disjoint or equal."""
+        """For each interval the least of the sequences' values in it; intervals of one length are disjoint or equal."""
         own = values[self.sequence_of]
         out = own[np.minimum(low, self.size - 1)]
         wide = np.flatnonzero(high - low > 1)

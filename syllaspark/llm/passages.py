@@ -4,22 +4,29 @@ A window is a run of words of one document.  Its anchor is the least hash among
 shorter word grams, so equal windows have equal anchors wherever they stand, and a
 document falls into segments of windows with one anchor.
 
-1. Segments travel as (anchor, content key, id).  An anchor of one document is done
-   with.  A segment that a smaller id holds word for word is repeated as a whole.
-2. Anchors with several contents are dealt over shards.  Each shard builds a
-   compressed FM-index over its segments, and backward search over its wavelet
-   matrix gives for every window of the streamed segments the interval of its
-   occurrences; a window is repeated where the interval holds a smaller id.
-3. Documents with a repeated window are read again and lose the words it covers.
+1. Routing.  Segments travel as (anchor, content key, id).  An anchor of one document
+   is done with, as no other document can hold one of its windows.  Of the others each
+   distinct segment is kept once, under the least id that holds it, with a list of its
+   other holders; anchor and key name it by 128 bits.
+2. Index.  These segments are dealt over shards by their anchor.  Each shard builds a
+   compressed FM-index over them.
+3. Streaming.  The segments of every document stream past the index of their shard;
+   equal segments have equal statistics and are searched once.  Backward search over
+   the wavelet matrix gives the matching statistics: for every place the length of the
+   longest run of words that ends there and also stands elsewhere, up to a window, with
+   the interval of its occurrences.  Places that reach a window whose interval holds a
+   smaller id are reported; a later holder of a segment reports all its windows, as the
+   index holds it under a smaller id.
+4. Documents with a repeated window are read again and lose the words it covers.
 
 Anchors that a map task meets very often are not gathered: their segments are
-aggregated by content in a plain aggregation, and their windows are dealt over the
-shards one by one, so that no task holds all of a common passage or phrase.
+aggregated by content before they move, and their windows are dealt over the shards
+one by one, so that no task holds all of a common passage or phrase.
 
 Rows: one output row per input row with an id; rows with a null id are left out.  A
 null or empty text has no words.  Rows of equal id count as one document: neither
-repeats the other, and both lose what a smaller id has.  Windows are told apart by
-64-bit hashes of words.  Other columns are not read.
+repeats the other, and both lose what a smaller id has.  Words are told apart by
+64-bit hashes, windows by the hashes of all their words.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +41,6 @@ from pyspark.sql import functions as F
 from ..session import Scratch, ship, tasks_for
 from .arrays import SLICE_BYTES, U, _power, chained, mix, slices, span_hashes, tidy, words
 from .fmindex import FmIndex
-from .jaccard import _by_key
 
 #: Words of the grams that anchors are chosen among.
 GRAM = 6
@@ -61,12 +67,8 @@ class Segments:
         np.add.at(fits, last[some] - window + 1, -1)
         win = np.flatnonzero(np.cumsum(fits[:n]) > 0)
         gram = min(GRAM, window)
-        grams = chained(each, gram)
-        best, at = grams[win], win.copy()
-        for j in range(1, window - gram + 1):
-            g = grams[win + j]
-            less = g < best
-            best[less], at[less] = g[less], win[less] + j
+        best, at = _least(chained(each, gram), window - gram + 1)
+        best, at = best[win], at[win]
         cut = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(win) else np.zeros(0, np.int64)
         self.win = win[cut]
         self.many = np.diff(np.append(cut, len(win)))
@@ -79,19 +81,31 @@ class Segments:
         self.key = mix((sums[stop] - sums[self.win]) * inv[self.win] + mix(shape, 5), 6)
 
 
+def _least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least of every ``width`` consecutive values and the place of the first such one, by doubling."""
+    at, size = np.arange(len(values)), 1
+    while size < width and len(values):
+        step = min(size, width - size)
+        left, right = values[:-step], values[step:]
+        less = right < left
+        values, at = np.where(less, right, left), np.where(less, at[step:], at[:-step])
+        size += step
+    return values, at
+
+
 def _joined(buf: np.ndarray, offs: np.ndarray, s: Segments, keep: np.ndarray) -> list[str]:
     """A digest of each document's kept words, joined by one space."""
-    mark = np.zeros(len(buf) + 1, np.int32)
+    mark = np.zeros(len(buf) + 1, np.int8)
     starts, ends = s.starts[keep], s.ends[keep]
     mark[starts] += 1
-    inner = ends < np.repeat(offs[1:], _per(keep, s))
-    stop = ends + inner
-    np.add.at(mark, stop, -1)
-    take = np.cumsum(mark[:-1]) > 0
+    per = _per(keep, s)
+    inner = ends < np.repeat(offs[1:], per)
+    mark[ends + inner] -= 1  # each place once
+    take = np.cumsum(mark[:-1], dtype=np.int8).view(bool)
     chars = buf.copy()
     chars[ends[inner]] = 32
-    out, at = chars[take], np.append(0, np.cumsum(take))[offs]
-    view, digests = memoryview(out.tobytes()), []
+    out, at = chars[take], np.append(0, np.cumsum(ends - starts + inner))[np.append(0, np.cumsum(per))]
+    view, digests = memoryview(out), []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
         if b > a and view[b - 1] == 32:
             b -= 1
@@ -161,9 +175,9 @@ def _send(window: int, buckets: int):
 def _receive(batches):
     """Reduce side, in rows of SCHEMA.
 
-    2: (id, words, -, digest).  5: (id, key) of a segment repeated as a whole.
-    6: (id, key) of the first holder of a content whose anchor has several.
-    8: (id, key) of a segment with a common anchor.
+    2: (id, words, -, digest).  6: (id, key) of the first holder of a segment whose
+    anchor several documents share.  5: (id, key) of a later holder.  8: (id, key) of a
+    segment with a common anchor.
     """
 
     def finish(payloads):
@@ -177,13 +191,12 @@ def _receive(batches):
         at, run = np.flatnonzero(new_anchor), np.cumsum(new_anchor) - 1
         flagged = np.zeros(len(at), bool)
         flagged[run[key == 0]] = True
-        several = np.add.reduceat(new_key.astype(np.int64), at) > 1
         shared = np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at)
         least = doc[np.flatnonzero(new_key)][np.cumsum(new_key) - 1]
         hot = flagged[run] & (key != 0)
         cold = ~flagged[run]
         whole = cold & (doc > least)
-        part = cold & new_key & (several & shared)[run]
+        part = cold & new_key & shared[run]
         for kind, rows in ((8, hot), (5, whole), (6, part)):
             if rows.any():
                 yield _table(kind, doc[rows], key[rows], anchor[rows])
@@ -207,51 +220,88 @@ def _receive(batches):
         yield from finish(held)
 
 
+def _listed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, entry) of all entries of a column of lists of whole numbers."""
+    ends = np.append(0, np.cumsum(np.array(column.value_lengths().fill_null(0), np.int64)))
+    return np.repeat(np.arange(len(column)), np.diff(ends)), np.array(column.flatten(), np.int64)
+
+
+def _held(s: Segments, rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The first segment of each document with each of its listed keys."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    name = lambda row, key: mix(key.view(U) ^ mix(row.astype(U)), 9)
+    own = name(s.doc, s.key)
+    hit = np.flatnonzero(np.isin(own, name(rows, keys)))
+    return np.sort(hit[np.unique(own[hit], return_index=True)[1]])
+
+
+def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of runs of given sizes, one run after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _contents(window: int, shards: int):
-    """(shard, id, key, at, many, content) of the segments, or single windows of common ones, that shards compare."""
+    """(shard, id, key, at, many, content) of the segments, or single windows of common ones, that shards index."""
 
     def run(batches):
         for batch in batches:
             ids = np.array(batch.column(0), np.int64)
-            parts, singles = (batch.column(k).to_pylist() for k in (3, 4))
+            lists = [_listed(batch.column(k)) for k in (3, 4)]
             for first, last, buf, offs in slices(batch.column(1), SLICE_BYTES):
                 s = Segments(buf, offs, window)
-                out = []
-                edge = np.searchsorted(s.doc, np.arange(last - first + 1))
-                key = s.key.view(np.int64)
-                for d in range(last - first):
-                    part, single = parts[first + d], singles[first + d]
-                    if not part and not single:
-                        continue
-                    own = slice(edge[d], edge[d + 1])
-                    name, i = np.unique(key[own], return_index=True)
-                    i = i + edge[d]
-                    for j in i[np.isin(name, part or [])].tolist():
-                        a, n = int(s.win[j]), int(s.many[j])
-                        out.append((int(s.anchor[j] % U(shards)), int(ids[first + d]), int(key[j]), 0, n, s.each[a : a + n + window - 1].tobytes()))
-                    for j in i[np.isin(name, single or [])].tolist():
-                        for k in range(int(s.many[j])):
-                            w = s.each[int(s.win[j]) + k : int(s.win[j]) + k + window]
-                            out.append((int(chained(w, window)[0] % U(shards)), int(ids[first + d]), int(key[j]), k, 1, w.tobytes()))
-                yield pa.RecordBatch.from_arrays([*[pa.array([o[k] for o in out], pa.int64()) for k in range(5)], pa.array([o[5] for o in out], pa.binary())], names=["shard", "id", "key", "at", "many", "content"])
+                part, single = (_held(s, rows[on] - first, keys[on]) for rows, keys in lists for on in [slice(*np.searchsorted(rows, [first, last]))])
+                split = np.repeat(single, s.many[single])
+                at = _runs(np.zeros(len(single), np.int64), s.many[single])
+                grams = chained(s.each, window)
+                begin = np.append(s.win[part], s.win[split] + at)
+                many = np.append(s.many[part], np.ones(len(split), np.int64))
+                shard = np.append(s.anchor[part], grams[s.win[split] + at]) % U(shards)
+                rows = np.append(part, split)
+                size = many + window - 1
+                flat = s.each[_runs(begin, size)]
+                offsets = np.append(0, np.cumsum(8 * size)).astype(np.int32)
+                content = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))])
+                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64)), pa.array(ids[first + s.doc[rows]]), pa.array(s.key[rows].view(np.int64)), pa.array(np.append(np.zeros(len(part), np.int64), at)), pa.array(many), content], names=["shard", "id", "key", "at", "many", "content"])
 
     return run
 
 
+def _shards(batches):
+    """The rows of each shard, from batches sorted by it, as one list of record batches."""
+    held, at = [], None
+    for batch in batches:
+        shard = np.array(batch.column(0), np.int64)
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]]).astype(np.int64) if len(shard) else np.zeros(0, np.int64)
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            if held and shard[a] != at:
+                yield held
+                held = []
+            at = shard[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield held
+
+
 def _match(window: int):
-    """(id, key, at) of each repeated window: one FM-index for each shard, and all its segments streamed over it."""
+    """(id, key, at) of each repeated window: one FM-index for each shard, and the shard's segments streamed past it."""
+
+    def words_of(column: pa.Array) -> np.ndarray:
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(U) if ends[-1] > ends[0] else np.zeros(0, U)
 
     def run(batches):
-        for _, rows in _by_key(batches, "shard"):
-            sizes = np.array([r["many"] + window - 1 for r in rows])
-            index = FmIndex(np.frombuffer(b"".join(r["content"] for r in rows), U), sizes)
-            ids = np.array([r["id"] for r in rows])
-            many = np.array([r["many"] for r in rows])
-            row = np.repeat(np.arange(len(rows)), many)
-            k = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            low, high = index.intervals((np.cumsum(sizes) - sizes)[row] + k + window - 1, window)
-            hit = np.flatnonzero(index.least(ids, low, high) < ids[row])
-            yield pa.RecordBatch.from_arrays([pa.array([rows[r][f] for r in row[hit].tolist()], pa.int64()) if f != "at" else pa.array([rows[r]["at"] + int(j) for r, j in zip(row[hit], k[hit])], pa.int64()) for f in ("id", "key", "at")], names=["id", "key", "at"])
+        for rows in _shards(batches):
+            ids, key, at, many = (np.concatenate([np.array(r.column(k), np.int64) for r in rows]) for k in (1, 2, 3, 4))
+            sizes = many + window - 1
+            index = FmIndex(np.concatenate([words_of(r.column(5)) for r in rows]), sizes, window)
+            row = np.repeat(np.arange(len(ids)), many)
+            k = _runs(np.zeros(len(ids), np.int64), many)
+            length, low, high = index.statistics((np.cumsum(sizes) - sizes)[row] + k + window - 1, window)
+            hit = np.flatnonzero(length >= window)
+            hit = hit[index.least(ids, low[hit], high[hit]) < ids[row[hit]]]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row[hit]]), pa.array(key[row[hit]]), pa.array(at[row[hit]] + k[hit])], names=["id", "key", "at"])
 
     return run
 
