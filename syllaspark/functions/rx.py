@@ -58,7 +58,8 @@ def squish(text: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    return F.when(F.length(text) > 0, text)
+    """The text, evaluated once; null where it is empty."""
+    return F.nullif(text, F.lit(""))
 
 
 def matches(text: Column, pattern: str) -> Column:

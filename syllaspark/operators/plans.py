@@ -26,13 +26,14 @@ def hashed(courses: DataFrame) -> DataFrame:
 def plan_lookup(courses: DataFrame, tie: str = "course_id") -> DataFrame:
     """One row for each plan, institution and code: its years and the texts of its first row.
 
-    First is the earliest year, ties by ``tie``.  The normalised text is the same in
-    the whole group, so only one text column travels with the aggregate.
+    First is the earliest year, ties by ``tie``.  Rows without a plan are left out after
+    the aggregate, by a count: a filter before it would be pushed below the projection
+    that hashes, and normalise each text once more.
     """
     first = F.struct(F.col(YEAR).alias("y"), F.col(tie).alias("t"))
-    rows = courses.where(F.col("plan_content_id").isNotNull())
-    out = rows.groupBy("plan_content_id", "institution_short", CODE).agg(F.min(YEAR).alias("year_from"), F.max(YEAR).alias("year_to"), F.min_by("course_plan", first).alias("course_plan"))
-    return out.withColumn("course_plan_normalized", normalize_plan(F.col("course_plan")))
+    texts = F.struct("course_plan", "course_plan_normalized")
+    out = courses.groupBy("plan_content_id", "institution_short", CODE).agg(F.min(YEAR).alias("year_from"), F.max(YEAR).alias("year_to"), F.min_by(texts, first).alias("_first"), F.count("plan_content_id").alias("_n"))
+    return out.where("_n > 0").select("plan_content_id", "institution_short", CODE, "year_from", "year_to", "_first.course_plan", "_first.course_plan_normalized")
 
 
 def deduplicate(courses: DataFrame, tie: str = "course_id") -> tuple[DataFrame, DataFrame]:
@@ -49,20 +50,18 @@ def first_per_course(courses: DataFrame, tie: str) -> DataFrame:
 
 def multi_version_codes(courses: DataFrame) -> DataFrame:
     """Codes of which at least two plans are known."""
-    rows = courses.where(F.col("plan_content_id").isNotNull())
-    return rows.groupBy("institution_short", RAW).agg(F.countDistinct("plan_content_id").alias("versions")).where("versions >= 2")
+    return courses.groupBy("institution_short", RAW).agg(F.countDistinct("plan_content_id").alias("versions")).where("versions >= 2")
 
 
 def plan_versions(courses: DataFrame, tie: str = "course_id") -> DataFrame:
     """The plans of each code in order of their years, with a label such as ``V2 (2019-2021)``."""
-    rows = courses.where(F.col("plan_content_id").isNotNull())
     order = F.struct(F.col(YEAR).alias("y"), F.col(SEASON).alias("s"), F.col(tie).alias("t"))
-    out = rows.groupBy("institution_short", RAW, "plan_content_id").agg(
+    out = courses.groupBy("institution_short", RAW, "plan_content_id").agg(
         F.min(YEAR).alias("year_from"),
         F.max(YEAR).alias("year_to"),
-        F.count("*").alias("semesters"),
+        F.count("plan_content_id").alias("semesters"),  # none where there is no plan; see plan_lookup
         F.min_by(F.struct("extracted_text", "course_plan_normalized"), order).alias("_first"),
-    )
+    ).where("semesters > 0")
     number = F.row_number().over(Window.partitionBy("institution_short", RAW).orderBy("year_from", "year_to", "plan_content_id"))
     years = F.when(F.col("year_from") == F.col("year_to"), F.col("year_from").cast("string")).otherwise(F.concat_ws("-", F.col("year_from").cast("string"), F.col("year_to").cast("string")))
     out = out.withColumn("number", number).withColumn("label", F.concat(F.lit("V"), F.col("number").cast("string"), F.lit(" ("), years, F.lit(")")))
