@@ -9,6 +9,7 @@ from ..functions.keys import strip_version
 from ..operators.columns import with_course_id
 from ..operators.plans import hashed
 from ..schema import CODE, RAW, SEASON, YEAR
+from ..session import spread
 from .registry import INSTITUTIONS
 
 
@@ -16,11 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def courses(spark: SparkSession, folder: str, registry: bool = False, whole: bool = False) -> DataFrame:
+def courses(spark: SparkSession, folder: str, registry: bool = False) -> DataFrame:
     """Documents as courses: the language, or with ``registry`` a known name, as institution.
 
     Copies of a text get different years, so that they are equal only once normalised.
-    With ``whole`` every text is kept; otherwise, as in the SQL twins, the texts of ids divisible by 9 are null.
     """
     docs = table(spark, folder, "documents")
     names = list(INSTITUTIONS)
@@ -37,13 +37,13 @@ def courses(spark: SparkSession, folder: str, registry: bool = False, whole: boo
         year.alias(YEAR),
         F.when(F.col("doc_id") % 2 == 0, "Vår").otherwise("Høst").alias(SEASON),
         (1 + F.col("doc_id") % 4).cast("int").alias("Status"),
-        (text if whole else F.when(F.col("doc_id") % 9 != 0, text)).alias("extracted_text"),
+        text.alias("extracted_text"),
         F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("https://example.org/?a=1&d="), F.col("doc_id").cast("string"))).alias("url"),
         F.col("source").alias("Avdelingsnavn"),
     )
     return with_course_id(rows)
 
 
-def planned(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
+def planned(spark: SparkSession, folder: str) -> DataFrame:
     """Courses whose text counts as their plan, normalised and hashed."""
-    return hashed(courses(spark, folder, whole=whole).withColumn("course_plan", F.col("extracted_text")))
+    return hashed(spread(courses(spark, folder)).withColumn("course_plan", F.col("extracted_text")))

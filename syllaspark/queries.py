@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import cases
 from .functions import discovery, keys, pdf, text
 from .functions.diff import diff, unified
 from .functions.embedded import embedded_plan
@@ -16,6 +17,7 @@ from .operators import columns, filters, joins, plans, reports, sets
 from .plans.registry import INSTITUTIONS, dimension
 from .plans.views import courses, planned, table
 from .schema import CODE, RAW, SEASON, YEAR
+from .session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,7 +44,7 @@ def _c(institution: str = "lang") -> str:
  CAST(1 + doc_id % 4 AS INTEGER) AS "Status", source AS "Avdelingsnavn", text,
  CASE WHEN doc_id % 5 <> 0 THEN concat('https://example.org/?a=1&d=', doc_id) END AS url FROM documents),
 c AS (SELECT * EXCLUDE (text), concat_ws('_', coalesce(institution_short, 'NA'), "Emnekode_raw", "Årstall", CASE "Semesternavn" WHEN 'Vår' THEN 'spring' ELSE 'autumn' END, "Status") AS course_id,
- CASE WHEN doc_id % 9 <> 0 THEN concat(text, chr(10), 'Learning outcomes autumn ', "Årstall", ' Opprettet ', "Årstall") END AS extracted_text FROM c0)"""
+ text || chr(10) || 'Learning outcomes autumn ' || "Årstall" || ' Opprettet ' || "Årstall" AS extracted_text FROM c0)"""
 
 
 _REGISTRY = f"{_NAMES}[doc_id % {len(INSTITUTIONS)} + 1]"
@@ -172,12 +174,13 @@ def _sql_rules() -> str:
 
 @query(f"SELECT doc_id, nullif({_sql_rules()}, '') AS course_plan FROM documents")
 def anonymize_general(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", text.anonymize(F.lit("other"), F.col("text")).alias("course_plan"))
+    return spread(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", text.anonymize(F.lit("other"), F.col("text")).alias("course_plan"))
 
 
 @query()
 def anonymize_institutions(spark, folder):
-    return plans.clean(courses(spark, folder, registry=True, whole=True)).select("doc_id", "institution_short", "course_plan")
+    rows = courses(spark, folder, registry=True).select("doc_id", "institution_short", "extracted_text")
+    return plans.clean(spread(rows)).select("doc_id", "institution_short", "course_plan")
 
 
 # --- reports ---
@@ -266,11 +269,11 @@ def rows_update(spark, folder):
     return joins.update_rows(courses(spark, folder), updates, "doc_id").select("doc_id", "url")
 
 
-@query(f"""WITH {_c()}, u AS (SELECT "Emnekode", "Årstall", "Semesternavn", min(url) AS url FROM c WHERE doc_id % 3 = 0 AND url IS NOT NULL GROUP BY ALL)
+@query(f"""WITH {_c()}, u AS (SELECT "Emnekode", "Årstall", "Semesternavn", min(url) AS url FROM c WHERE url IS NOT NULL GROUP BY ALL)
 SELECT c.doc_id, u.url FROM c LEFT JOIN u USING ("Emnekode", "Årstall", "Semesternavn")""")
 def lookup_join(spark, folder):
     rows = courses(spark, folder)
-    return joins.lookup_url(rows, rows.where("doc_id % 3 = 0 and url is not null"), [F.col("url")]).select("doc_id", "url")
+    return joins.lookup_url(rows, rows.where("url is not null"), [F.col("url")]).select("doc_id", "url")
 
 
 @query(f"""WITH {_c()}, d AS (SELECT concat('C', page_id % 7, '-1') AS "Emnekode_raw", CAST(2004 + page_id % 40 AS INTEGER) AS "Årstall", url AS u, CASE WHEN page_id % 3 = 0 THEN 'pdf' ELSE 'html' END AS t FROM pages),
@@ -283,6 +286,11 @@ def discovery_router(spark, folder):
     return joins.match_discovery(courses(spark, folder), found).select("doc_id", "url", "url_matched", "route")
 
 
+@query(f"WITH x AS ({ORACLES['discovery_router']}) SELECT count(*) FILTER (route = 'html') AS html, count(*) FILTER (route = 'pdf') AS pdf, count(*) FILTER (route = 'none') AS none FROM x")
+def route_counts(spark, folder):
+    return reports.routes(discovery_router(spark, folder))
+
+
 @query(f"""WITH {_c()} SELECT "Emnekode" AS code, min(url) AS url FROM c WHERE url IS NOT NULL GROUP BY "Emnekode" """)
 def fetch_once(spark, folder):
     return joins.fetch_once(courses(spark, folder), CODE, [F.col("url")]).select(F.col(CODE).alias("code"), "url")
@@ -347,7 +355,7 @@ def page_status(spark, folder):
 
 @query()
 def text_diff(spark, folder):
-    pairs = plans.version_pairs(plans.plan_versions(planned(spark, folder, whole=True), "doc_id"), "extracted_text")
+    pairs = plans.version_pairs(plans.plan_versions(planned(spark, folder), "doc_id"), "extracted_text")
     return pairs.select("institution_short", RAW, "number", unified(diff(F.col("old_text"), F.col("new_text"))).alias("changes"))
 
 
@@ -393,6 +401,12 @@ def usn_probe(spark, folder):
     return found.select("course_id", "version")
 
 
+# --- rules and pages case by case ---
+
+for _name, (_run, _sql) in cases.QUERIES.items():
+    QUERIES[_name], ORACLES[_name] = _run, _sql
+
+
 def entry(spark: SparkSession, folder: str) -> DataFrame:
     """Plans by content over the smallest tables."""
     return plans.plan_lookup(planned(spark, folder), "doc_id")
