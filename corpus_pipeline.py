@@ -64,7 +64,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of five-word shingles at 0.8 connect, the least id stays; of its rows, where it repeats, one."""
+    """Of documents that links of five-word shingles at 0.8 connect, the least id stays; of its rows, where it repeats, one.
+
+    Null and empty texts have no shingle and stay, and so do rows without an id, which
+    can't be grouped.  An empty table stays empty.
+    """
     scratch = Scratch(spark, "near")
     known = docs.where("doc_id is not null")
     if not known.groupBy("doc_id").count().where("count > 1").limit(1).collect():
@@ -83,12 +87,19 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at temperature weights: every document is taken, those of small sources up to four times."""
+    """Sources at temperature weights: every document is taken, those of small sources up to four times.
+
+    A null source is a source of its own; a source without words is taken once.  Repeated
+    rows are each taken.  An empty table stays empty.
+    """
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mixture, and what they decode to, as digests."""
+    """Token ids of every document of the mixture, and what they decode to, as digests.
+
+    One row for each row, also of null and empty texts, which have no ids.
+    """
     return bpe_encode(docs, RANKS, public_tokenizers.PATTERN, digests=True)
 
 
@@ -99,9 +110,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written before the next reads it."""
+    """All stages over ``documents``, each written before the next reads it; then what only it needed is deleted."""
     scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = scratch.save(stage(spark, docs, sf_dir), name)
+        since = len(Scratch.made)
+        docs, before = scratch.save(stage(spark, docs, sf_dir), name), docs
+        Scratch.release(since)
+        scratch.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
