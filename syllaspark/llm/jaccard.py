@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import Scratch, ship, tasks_for
+from ..session import Scratch, ship, spread, tasks_for
 from .arrays import SLICE_BYTES, U, chained, mix, slices, span_hashes, tidy, words
 from .components import connected_components
 
@@ -341,7 +341,7 @@ def near_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     plain = docs.where(docs[id_col].isNotNull()).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     tasks = tasks_for(docs, 6 << 20)
     buckets = 1 << max(8, (4 * tasks - 1).bit_length())
-    sent = plain.mapInArrow(tidy(_send(width, num, den, buckets)), "bucket long, kind int, payload binary")
+    sent = spread(plain).mapInArrow(tidy(_send(width, num, den, buckets)), "bucket long, kind int, payload binary")
     got = scratch.save(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_receive), "kind int, a long, b long, c long"), "shards")
     members = got.where("kind = 2").select(F.col("a").alias("id"), F.col("b").alias("n"), F.col("c").alias("node"))
     edges = got.where("kind = 1").select("a", "b", F.col("c").alias("key"))
@@ -349,6 +349,7 @@ def near_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     if edges.limit(1).collect():
         classes = _classes(plain, members, edges, scratch, width, num, den, tasks)
         members = scratch.save(members.join(classes, "node", "left").select("id", "n", F.coalesce("class", "node").alias("class")), "members")
+        scratch.keep(members)
     else:
         members = members.withColumnRenamed("node", "class")
     names = scratch.save(members.where("n > 0").groupBy("class").agg(F.min("id").alias("component_id")), "names")

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..session import ship
+from ..session import ship, spread
 from .arrays import slices, tidy
 
 
@@ -33,4 +33,4 @@ def map_text(docs: DataFrame, id_col: str, text_col: str, make: Callable[[], Cal
                 out = f(column.slice(first, last - first), buf, offs)
                 yield pa.RecordBatch.from_arrays([ids.slice(first, last - first), *[x if isinstance(x, pa.Array) else pa.array(x) for x in out]], names=schema.names)
 
-    return docs.select(docs[id_col], docs[text_col].cast("string")).toDF("id", "text").mapInArrow(tidy(run), schema)
+    return spread(docs.select(docs[id_col], docs[text_col].cast("string")).toDF("id", "text")).mapInArrow(tidy(run), schema)

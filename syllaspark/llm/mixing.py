@@ -96,6 +96,7 @@ class Plan:
         filled = F.sum("tokens").over(Window.partitionBy("of").orderBy("digest"))
         cuts = inside.withColumn("filled", filled).where("filled >= need").groupBy("of").agg(F.min("digest").alias("cut"))
         self.cuts = scratch.save(plan.join(cuts, "of", "left"), "cuts")
+        scratch.keep(rows, self.cuts)
 
     def of(self, docs: DataFrame) -> Column:
         return F.coalesce(F.concat(F.lit("="), docs[self.source_col].cast("string")), F.lit("none"))

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import Scratch, ship, tasks_for
+from ..session import Scratch, ship, spread, tasks_for
 from .arrays import SLICE_BYTES, U, _power, chained, mix, slices, span_hashes, tidy, words
 from .fmindex import FmIndex
 
@@ -348,7 +348,7 @@ def repeated_passages(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     plain = docs.where(docs[id_col].isNotNull()).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     tasks = tasks_for(docs, 6 << 20)
     buckets = 1 << max(8, (4 * tasks - 1).bit_length())
-    sent = plain.mapInArrow(tidy(_send(window, buckets)), "bucket long, kind int, payload binary, digests array<string>")
+    sent = spread(plain).mapInArrow(tidy(_send(window, buckets)), "bucket long, kind int, payload binary, digests array<string>")
     got = scratch.save(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_receive), SCHEMA), "shards")
     of = lambda kind: got.where(F.col("kind") == kind)
     untouched = of(2).select(F.col("a").alias("id"), F.col("b").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("digest").alias("kept_sha256"))
@@ -374,5 +374,6 @@ def repeated_passages(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     parts = asked.mapInArrow(tidy(_contents(window, shards)), "shard long, id long, key long, at long, many long, content binary")
     found = parts.repartition(max(8, min(shards, 4 * tasks)), "shard").sortWithinPartitions("shard").mapInArrow(tidy(_match(window)), "id long, key long, at long")
     found = scratch.save(found.distinct().groupBy("id").agg(F.collect_list(F.struct("key", "at")).alias("some")), "found")
+    scratch.keep(got, marks, work, found)
     touched = work.join(found, "id", "left").select("id", "text", "whole", "some").mapInArrow(tidy(_cut(window)), "id long, n_words long, n_removed long, kept_sha256 string")
     return untouched.join(marks.select("id"), "id", "left_anti").unionByName(touched).withColumnRenamed("id", id_col)

@@ -78,7 +78,27 @@ def oracle_sql() -> dict[str, str]:
 _WORDS = """d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
 u AS (SELECT rid, doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d)"""
 
+#: Kind, expression, its group that must reach a length, that length: the rules of the scanner as RE2 reads them.
+_KINDS = [
+    ("assign", "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 6),
+    ("access", "AKIA([A-Z0-9]+)", 1, 16),
+    ("hex", "([0-9a-f]+)", 1, 24),
+    ("bearer", "[Bb]earer\\x20+([A-Za-z0-9._~+/=-]+)", 1, 12),
+    ("userinfo", "://[A-Za-z0-9._-]+:[A-Za-z0-9._%+-]+(@+)", 1, 1),
+    ("pem", "-----BEGIN\\x20(?:[A-Z]+\\x20)*PRIVATE\\x20KEY(-+)", 1, 5),
+]
+_FOUND = " UNION ALL ".join(f"SELECT rid, {n} AS o, '{kind}' AS kind, {least} AS least, string_split_regex(t, '{rx}') AS gaps, regexp_extract_all(t, '{rx}', 0) AS hits, regexp_extract_all(t, '{rx}', {group}) AS tails FROM d" for n, (kind, rx, group, least) in enumerate(_KINDS))
+
 ORACLES: dict[str, str] = {
+    "op8_secrets": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({_FOUND}),
+u AS (SELECT rid, o, kind, least, unnest(gaps[:len(hits)]) AS gap, unnest(hits) AS hit, unnest(tails) AS tail, unnest(range(len(hits))) AS i FROM f),
+s AS (SELECT rid, o, kind, length(tail) >= least AS ok, length(hit) AS size, sum(length(gap) + length(hit)) OVER (PARTITION BY rid, o ORDER BY i) - length(hit) AS a FROM u),
+x AS (SELECT rid, o, kind, a::BIGINT AS a, concat(kind, ':', a::BIGINT, ':', (a + size)::BIGINT) AS span FROM s WHERE ok)
+SELECT doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+ sha256(coalesce(string_agg(span, ',' ORDER BY a, o) FILTER (o < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY a, o), '') AS spans
+FROM d LEFT JOIN x USING (rid) GROUP BY rid, doc_id""",
     "op1_jaccard": f"""
 WITH RECURSIVE {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")},
 g AS (SELECT rid, string_agg(word, ' ') OVER f AS g, count(*) OVER f AS n FROM u WINDOW f AS (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)),

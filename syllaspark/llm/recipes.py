@@ -55,6 +55,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     best = F.min(F.struct((-F.col("size")).alias("less"), F.col("id").isNull().alias("none"), F.col("id").alias("id")))
     groups = scratch.save(recipes.groupBy("recipe").agg(best.alias("best"), F.count("*").alias("n"), F.first("key").alias("key")).select("key", F.col("best.id").alias("keep_id"), F.col("n").alias("group_size")), "groups")
+    scratch.keep(recipes, groups)
     return recipes.join(groups, "key").select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
