@@ -21,8 +21,8 @@ whose sets overlap by a given Jaccard share, the components that the links form.
 Rows: one output row per input row with an id.  A null or empty text, or one of
 white space, has no shingle and links with nothing.  A text with fewer words than a
 shingle is one shingle.  Rows of equal sets are one node.  Repeated ids each have
-their row.  Rows with a null id, which no component could be named by, are left out.
-Elements and sets are told apart by 64-bit hashes.  Other columns are not read.
+their row.  Rows with a null id link with nothing, as no component could be named by
+one: their row has a null component.  Elements and sets are told apart by 64-bit hashes.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -312,6 +312,19 @@ def _sets_of(width: int):
     return run
 
 
+def _sizes(width: int):
+    """(null, size, null) of the set of each text."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, buf, offs in slices(batch.column(0), SLICE_BYTES):
+                n = pa.array([len(s) for s in shingle_sets(buf, offs, width)], pa.int64())
+                none = pa.nulls(len(n), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, n, none], names=["id", "n", "component_id"])
+
+    return run
+
+
 def _by_key(batches, key: str):
     """Runs of rows of equal key, from rows sorted by it."""
     held, at = [], None
@@ -354,7 +367,9 @@ def near_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
         members = members.withColumnRenamed("node", "class")
     names = scratch.save(members.where("n > 0").groupBy("class").agg(F.min("id").alias("component_id")), "names")
     some = members.where("n > 0").join(names, "class").select("id", "n", "component_id")
-    return some.unionByName(members.where("n = 0").select("id", "n", F.col("id").alias("component_id"))).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    alone = members.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    nameless = docs.where(docs[id_col].isNull()).select(docs[text_col].alias("text")).mapInArrow(tidy(_sizes(width)), "id long, n long, component_id long")
+    return some.unionByName(alone).unionByName(nameless).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def _classes(plain, members, edges, scratch, width, num, den, tasks) -> DataFrame:

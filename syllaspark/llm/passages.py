@@ -23,8 +23,8 @@ Anchors that a map task meets very often are not gathered: their segments are
 aggregated by content before they move, and their windows are dealt over the shards
 one by one, so that no task holds all of a common passage or phrase.
 
-Rows: one output row per input row with an id; rows with a null id are left out.  A
-null or empty text has no words.  Rows of equal id count as one document: neither
+Rows: one output row per input row.  A row with a null id comes before or after no
+other: it loses nothing, and nothing is lost to it.  A null or empty text has no words.  Rows of equal id count as one document: neither
 repeats the other, and both lose what a smaller id has.  Words are told apart by
 64-bit hashes, windows by the hashes of all their words.  Other columns are not read.
 """
@@ -351,7 +351,9 @@ def repeated_passages(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     sent = spread(plain).mapInArrow(tidy(_send(window, buckets)), "bucket long, kind int, payload binary, digests array<string>")
     got = scratch.save(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_receive), SCHEMA), "shards")
     of = lambda kind: got.where(F.col("kind") == kind)
-    untouched = of(2).select(F.col("a").alias("id"), F.col("b").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("digest").alias("kept_sha256"))
+    nameless = docs.where(docs[id_col].isNull()).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"), F.lit(None).cast("array<long>").alias("whole"), F.lit(None).cast("array<struct<key:long,at:long>>").alias("some"))
+    cut = lambda rows: rows.mapInArrow(tidy(_cut(window)), "id long, n_words long, n_removed long, kept_sha256 string")
+    untouched = of(2).select(F.col("a").alias("id"), F.col("b").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("digest").alias("kept_sha256")).unionByName(cut(nameless))
 
     common = of(8).select(F.col("a").alias("id"), F.col("b").alias("key"))
     firsts = scratch.save(common.groupBy("key").agg(F.min("id").alias("least")), "firsts")
@@ -375,5 +377,5 @@ def repeated_passages(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     found = parts.repartition(max(8, min(shards, 4 * tasks)), "shard").sortWithinPartitions("shard").mapInArrow(tidy(_match(window)), "id long, key long, at long")
     found = scratch.save(found.distinct().groupBy("id").agg(F.collect_list(F.struct("key", "at")).alias("some")), "found")
     scratch.keep(got, marks, work, found)
-    touched = work.join(found, "id", "left").select("id", "text", "whole", "some").mapInArrow(tidy(_cut(window)), "id long, n_words long, n_removed long, kept_sha256 string")
+    touched = cut(work.join(found, "id", "left").select("id", "text", "whole", "some"))
     return untouched.join(marks.select("id"), "id", "left_anti").unionByName(touched).withColumnRenamed("id", id_col)

@@ -75,7 +75,7 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
-_WORDS = """d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+_WORDS = """d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 u AS (SELECT rid, doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d)"""
 
 #: Kind, expression, its group that must reach a length, that length: the rules of the scanner as RE2 reads them.
@@ -105,14 +105,14 @@ g AS (SELECT rid, string_agg(word, ' ') OVER f AS g, count(*) OVER f AS n FROM u
 s AS (SELECT DISTINCT rid, g FROM g WHERE n = 4 UNION SELECT rid, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 3),
 z AS (SELECT d.rid, d.doc_id, count(s.g) AS n FROM d LEFT JOIN s USING (rid) GROUP BY ALL),
 c AS (SELECT a.rid AS a, b.rid AS b, count(*) AS same FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid GROUP BY ALL),
-e AS (SELECT a, b FROM c JOIN z x ON x.rid = a JOIN z y ON y.rid = b WHERE 100 * same >= 85 * (x.n + y.n - same)),
+e AS (SELECT a, b FROM c JOIN z x ON x.rid = a JOIN z y ON y.rid = b WHERE x.doc_id IS NOT NULL AND y.doc_id IS NOT NULL AND 100 * same >= 85 * (x.n + y.n - same)),
 both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r AS (SELECT rid, rid AS reached FROM z UNION SELECT r.rid, b FROM r JOIN both_ways ON a = reached)
 SELECT z.doc_id, z.n AS n_shingles, min(t.doc_id) AS component_id FROM z JOIN r USING (rid) JOIN z t ON t.rid = reached GROUP BY z.rid, z.doc_id, z.n""",
     "op9_passages": f"""
 WITH {_WORDS.format("coalesce(text, '')")},
 g AS (SELECT rid, doc_id, i, word, string_agg(word, ' ') OVER f AS g, count(*) OVER f AS n FROM u WINDOW f AS (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
-h AS (SELECT rid, i, word, n = 13 AND doc_id > min(doc_id) OVER (PARTITION BY g, n) AS again FROM g),
+h AS (SELECT rid, i, word, coalesce(n = 13 AND doc_id > min(doc_id) OVER (PARTITION BY g, n), false) AS again FROM g),
 k AS (SELECT rid, i, word, max(again) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM h)
 SELECT doc_id, count(word) AS n_words, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM d LEFT JOIN k USING (rid) GROUP BY rid, doc_id""",
     "op2_mixing": mixing.ORACLE,

@@ -72,12 +72,15 @@ def test_jaccard_components(spark, monkeypatch, k, num, den, page):
     texts += [None, "", " \n", "A B C", "a b c", "a b", "x " * 5000]
     rows = list(enumerate(texts)) + [(3, texts[70]), (3, texts[3])]
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash")).repartition(3)
-    frame = frame.unionByName(spark.createDataFrame([(None, "x y z", "c")], frame.schema))
-    got = sorted(tuple(x) for x in jaccard.near_groups(frame, k, num, den).collect())
+    nameless = [(None, "x y z"), (None, texts[0]), (None, None)]
+    frame = frame.unionByName(spark.createDataFrame([(*x, "c") for x in nameless], frame.schema))
+    whole = [tuple(x) for x in jaccard.near_groups(frame, k, num, den).collect()]
+    got = sorted(x for x in whole if x[0] is not None)
     assert got == _groups(rows, k, num, den)
+    assert sorted(x for x in whole if x[0] is None) == sorted((None, len(_shingles(t, k)), None) for _, t in nameless)
     assert jaccard.near_groups(frame.where("false"), k, num, den).count() == 0
     if k == 4:
-        assert sorted(_duck(queries.ORACLES["op1_jaccard"], documents=pd.DataFrame(rows, columns=["doc_id", "text"]))) == got
+        assert _duck(queries.ORACLES["op1_jaccard"], documents=pd.DataFrame(rows + nameless, columns=["doc_id", "text"]).astype({"doc_id": "Int64"})) == sorted(whole, key=str)
 
 
 def test_keys_of_linked_sets_meet():
@@ -156,10 +159,13 @@ def test_passages(spark, monkeypatch, common, shard):
     texts += [" ".join(r.choice("xy") for _ in range(r.randint(0, 40))) for _ in range(40)] + [None, "", "  ", "é " * 30, "y " * 4000]
     rows = list(enumerate(texts)) + [(5, texts[20]), (900, texts[20]), (900, texts[20])]
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1)).repartition(3)
-    frame = frame.unionByName(spark.createDataFrame([(None, "a", 1)], frame.schema))
-    assert sorted(tuple(x) for x in passages.repeated_passages(frame).collect()) == _passages(rows, 13)
+    nameless = [(None, "a"), (None, texts[0]), (None, None)]
+    frame = frame.unionByName(spark.createDataFrame([(*x, 1) for x in nameless], frame.schema))
+    got = [tuple(x) for x in passages.repeated_passages(frame).collect()]
+    assert sorted(x for x in got if x[0] is not None) == _passages(rows, 13)
+    assert sorted(x[1:3] for x in got if x[0] is None) == sorted((len(WORD.findall(t or "")), 0) for _, t in nameless)
     assert passages.repeated_passages(frame.where("false")).count() == 0
-    assert sorted(_duck(queries.ORACLES["op9_passages"], documents=pd.DataFrame(rows, columns=["doc_id", "text"]))) == _passages(rows, 13)
+    assert _duck(queries.ORACLES["op9_passages"], documents=pd.DataFrame(rows + nameless, columns=["doc_id", "text"]).astype({"doc_id": "Int64"})) == sorted(got, key=str)
 
 
 def test_matching_statistics():
