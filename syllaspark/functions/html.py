@@ -291,3 +291,43 @@ def page_facts(html: Column) -> Column:
         return pd.DataFrame(rows, columns=["h1", "body"])
 
     return F.pandas_udf(run, "h1 string, body string")(html)
+
+
+#: Elements that end a line in rendered pages, and the elements whose shadow roots hold a plan.
+LINE_ENDS = frozenset("p div h1 h2 h3 h4 h5 h6 li tr br section article header footer blockquote pre hr dt dd".split())
+SHADOW_HOSTS = ("usn-study", "usn-study-subject")
+
+
+def _shadow_root(host: Node | None) -> Node | None:
+    """The shadow root of an element, as browsers serialise it: a template child with a mode."""
+    return next((k for k in host.kids if isinstance(k, Node) and k.tag == "template" and "shadowrootmode" in k.attrs), None) if host is not None else None
+
+
+def shadow_walk(page: str) -> str | None:
+    """All text below the innermost host's shadow root, shadow roots first, a line feed after each block."""
+    root = parse(page)
+    for host in SHADOW_HOSTS:
+        root = _shadow_root(Selector(host).first(root)) if root is not None else None
+    if root is None:
+        return None
+    out: list[str] = []
+
+    def put(node: Node) -> None:
+        own = _shadow_root(node)
+        if own is not None:
+            put(own)
+        for kid in node.kids:
+            if isinstance(kid, str):
+                out.append(kid)
+            elif kid is not own:
+                put(kid)
+                if kid.tag in LINE_ENDS:
+                    out.append("\n")
+
+    put(root)
+    return "".join(out) or None
+
+
+def rendered_text(html: Column) -> Column:
+    """Text of a page that a browser rendered and serialised with its shadow roots."""
+    return _per_page(shadow_walk, "string")(html)

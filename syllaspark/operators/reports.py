@@ -108,3 +108,22 @@ def failures(rows: DataFrame) -> DataFrame:
     """Rows whose fetch failed, and rows that had no address, with the reason."""
     reason = F.when(F.col("url").isNull(), "no url").when(F.col("html_error").isNotNull(), F.col("html_error.message"))
     return rows.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def validation(rows: DataFrame, code: str = RAW) -> DataFrame:
+    """Of each row its address, whether it was fetched, names its code and gave text, and what failed."""
+    got = F.coalesce(F.col("html_success"), F.lit(False))
+    reason = F.when(F.col("url").isNull(), "no url").when(F.col("html_error").isNotNull(), F.col("html_error.message"))
+    return rows.select(F.col(code).alias("code"), F.col(YEAR).alias("year"), "url", got.alias("fetched"), mentions(F.col("html"), F.col(code)).alias("code_found"), F.when(has_text(F.col("extracted_text")), F.length("extracted_text")).alias("text_length"), reason.alias("reason"))
+
+
+def validation_report(rows: DataFrame, title: str = "Validation") -> DataFrame:
+    """The report as lines of text in order, a summary and then a block for each row; written with ``write.text``."""
+    own = validation(rows)
+    counts = own.agg(F.count("*").alias("n"), F.count_if("fetched").alias("fetched"), F.count_if(F.col("text_length").isNotNull()).alias("texts"), F.round(F.avg("text_length")).cast("long").alias("mean"))
+    line = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("NA")) for p in parts])
+    head = counts.select(F.lit(0).alias("part"), F.lit("").alias("code"), F.lit(0).alias("year"), F.array(F.lit(title), line("Rows: ", F.col("n")), line("Fetched: ", F.col("fetched")), line("With text: ", F.col("texts")), line("Mean length: ", F.col("mean"))).alias("lines"))
+    some = lambda ok, *parts: F.when(ok, line(*parts))
+    block = F.array(line(F.col("code"), " (", F.col("year"), ")"), line("  URL: ", F.col("url")), line("  Fetch: ", F.when(F.col("fetched"), "OK").otherwise("FAILED")), some(F.col("code_found"), "  Course code found"), some(F.col("text_length").isNotNull(), "  Text: ", F.col("text_length"), " chars"), some(F.col("reason").isNotNull(), "  Error: ", F.col("reason")))
+    body = own.select(F.lit(1).alias("part"), "code", "year", F.filter(block, lambda x: x.isNotNull()).alias("lines"))
+    return head.unionByName(body).orderBy("part", "code", "year").select(F.explode("lines").alias("value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from ..functions import discovery, pdf
 from ..functions.embedded import embedded_plan
 from ..functions.html import extract_css
 from ..functions.keys import academic_year
+from ..functions.pdfread import read_pages
 from ..functions.text import module_name, renumber_module, shadow_text
 from ..operators.columns import ensure_output, validate, with_course_id, with_url
 from ..operators.filters import of_institution, year_filter
@@ -47,7 +49,7 @@ class Harvester:
     spark: SparkSession
     folder: str
     transport: Transport
-    pdf_reader: Callable[[bytes], list[str]] = lambda data: []
+    pdf_reader: Callable[[bytes], list[str]] = read_pages
     browser: Callable[[DataFrame], DataFrame] | None = None
     refetch: bool = False
     retry_failed: bool = False
@@ -142,15 +144,19 @@ class Harvester:
         config = institution(name)
         return ensure_output(getattr(self, config.strategy)(self.prepare(courses, config, year), config))
 
-    def harvest_all(self, courses: DataFrame, out: str, year: int | None = None, names: list[str] | None = None) -> dict[str, dict]:
-        """Harvest institutions one by one into a partitioned table; counts by institution.
+    def harvest_all(self, courses: DataFrame, out: str, year: int | None = None, names: list[str] | None = None, at_once: int = 4) -> dict[str, dict]:
+        """Harvest institutions into a partitioned table; counts by institution.
 
-        One that fails keeps its earlier rows, and its error is in ``errors``.
+        ``at_once`` of them fetch at the same time, each in jobs of its own; their rows are
+        saved one after the other.  One that fails keeps its earlier rows, and its error
+        is in ``errors``.
         """
-        counts = {}
-        for name in names or list(INSTITUTIONS):
+        counts, names = {}, list(names or INSTITUTIONS)
+        with ThreadPoolExecutor(max(1, at_once)) as pool:
+            harvests = {name: pool.submit(self.harvest, courses, name, year) for name in names}
+        for name in names:
             try:
-                save_harvest(self.harvest(courses, name, year), out)
+                save_harvest(harvests[name].result(), out)
                 counts[name] = funnel(read(self.spark, out).where(F.col("institution_short") == name)).first().asDict()
             except Exception as e:
                 self.errors[name] = f"{type(e).__name__}: {e}"

@@ -9,6 +9,10 @@ from pyspark.sql.types import StructType
 from ..schema import YEAR
 
 
+#: Tasks, and so files, of one partition of a harvest at most.
+SHARES = 8
+
+
 def _path(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -43,9 +47,11 @@ def append(rows: DataFrame, path: str) -> None:
 def save_harvest(rows: DataFrame, path: str) -> None:
     """Replace the partitions that ``rows`` hold, by institution and year; others stay.
 
-    A harvest of one year thus leaves the other years of its institution alone.
+    A harvest of one year thus leaves the other years of its institution alone.  Each
+    partition is written by up to ``SHARES`` tasks, as one may hold a third of all rows.
     """
-    rows.repartition("institution_short", YEAR).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("institution_short", YEAR).parquet(path)
+    share = F.pmod(F.xxhash64("course_id"), F.lit(SHARES))
+    rows.repartition("institution_short", YEAR, share).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("institution_short", YEAR).parquet(path)
 
 
 def course_html(spark: SparkSession, path: str, institution: str, course_id: str) -> DataFrame:

@@ -4,8 +4,10 @@ import json
 
 from pyspark.sql import functions as F
 
+from syllaspark.operators.reports import validation_report
 from syllaspark.plans import library
 from syllaspark.plans.harvest import SUBJECTS, Harvester
+from syllaspark.plans.ingest import ingest
 from syllaspark.schema import CODE, COURSES, RAW, SEASON, YEAR
 from syllaspark.sources import registry_api
 from syllaspark.sources.fetch import fetch_with_checkpoint, recorded_transport
@@ -115,3 +117,25 @@ def test_version_diffs(spark):
     marked = hashed(clean(frame))
     assert [r[0] for r in library.codes_with_versions(marked, "a").collect()] == ["X-1"]
     assert [o["op"] for o in library.version_diffs(marked, "a", "X-1", normalized=False).first()["changes"]] == ["same", "changed"]
+
+
+def test_ingest(spark):
+    def loader(table, keys):
+        if table == "347":
+            return [{"Studiumkode": k, "Studieprogramkode": p} for k, p in (("LUPE", "P1"), ("LUPE", "P2"), ("INTMASTER", "P3"), ("ANNET", "P4")) if k in keys or k == "ANNET"]
+        return [{"Institusjonskode": "1171" if p == "P1" else "0", "Studieprogramkode": p, "Emnekode": f"{p}A-1", "Emnenavn": "n", YEAR: 2020, SEASON: "Høst", "Status": 1} for p in keys]
+
+    rows = ingest(spark, loader, chunk=2).orderBy(RAW).collect()
+    assert [(r[RAW], r[CODE], r[YEAR]) for r in rows] == [("P1A-1", "P1A", 2020), ("P2A-1", "P2A", 2020), ("P3A-1", "P3A", 2020)]
+    assert rows[0].asDict().keys() >= {"institution_short", "Emnenavn", SEASON, "Status"} and rows[1]["institution_short"] is None
+
+
+def test_validation_report(spark):
+    fields = f"{RAW} string, `{YEAR}` int, url string, html string, html_success boolean, html_error struct<class:string,message:string>, extracted_text string"
+    rows = spark.createDataFrame([("B-1", 2021, "u", "<p>b-1</p>", True, None, "tekst"), ("A-1", 2020, "v", None, False, ("E", "borte"), None), ("C-1", 2020, None, None, None, None, None)], fields)
+    assert [r["value"] for r in validation_report(rows, "Prøve").collect()] == [
+        "Prøve", "Rows: 3", "Fetched: 1", "With text: 1", "Mean length: 5",
+        "A-1 (2020)", "  URL: v", "  Fetch: FAILED", "  Error: borte",
+        "B-1 (2021)", "  URL: u", "  Fetch: OK", "  Course code found", "  Text: 5 chars",
+        "C-1 (2020)", "  URL: NA", "  Fetch: FAILED", "  Error: no url",
+    ]

@@ -1,8 +1,11 @@
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from syllaspark.functions import discovery, pdf, text
-from syllaspark.functions.html import Selector, extract_css, parse, select_text, text_of
+from syllaspark.functions.html import Selector, extract_css, parse, rendered_text, select_text, text_of
+from syllaspark.functions.pdfread import read_pages
 from syllaspark.schema import CODE
 
 
@@ -110,3 +113,43 @@ def test_page_ok(spark):
     rows = [(200, "text/html", "Emne", "x" * 120, "A1"), (200, "text/html", "Emne", "kort a1", "A1"), (200, "text/html", "Emne", "kort", "A1"), (404, "text/html", "Emne", "x" * 200, "A1"), (200, "application/pdf", None, "x" * 200, "A1"), (302, "text/html", "Page not found", "x" * 200, "A1"), (None, None, None, None, None)]
     frame = spark.createDataFrame(rows, "s int, t string, h string, b string, c string")
     assert [r[0] for r in frame.select(text.page_ok(*[F.col(c) for c in "sthbc"])).collect()] == [True, True, False, False, False, False, False]
+
+
+def _pdf(*objects: bytes) -> bytes:
+    return b"%PDF-1.5\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (k, o) for k, o in enumerate(objects, 1)) + b"trailer << /Root 1 0 R >>"
+
+
+def _stream(data: bytes, extra: bytes = b"") -> bytes:
+    packed = zlib.compress(data)
+    return b"<< /Length %d /Filter /FlateDecode %s >>\nstream\n%s\nendstream" % (len(packed), extra, packed)
+
+
+def test_pdf_reader():
+    plain = _pdf(
+        b"<< /Type /Catalog /Pages 2 0 R >>",
+        b"<< /Type /Pages /Kids [3 0 R 4 0 R] /Resources << /Font << /F1 << /Subtype /Type1 >> /F2 7 0 R >> >> >>",
+        b"<< /Type /Page /Parent 2 0 R /Contents 5 0 R >>",
+        b"<< /Type /Page /Parent 2 0 R /Contents [6 0 R] >>",
+        _stream(b"BT /F1 12 Tf (Norsk 1, emne 1) Tj 0 -14 Td [(Inn) 20 (hold) -300 (og \\(m\\345l\\))] TJ ET"),
+        _stream(b"BT /F2 9 Tf <00010002> Tj T* <0010> Tj ET"),
+        b"<< /Subtype /Type0 /ToUnicode 8 0 R >>",
+        _stream(b"1 begincodespacerange <0000> <FFFF> endcodespacerange 2 beginbfchar <0001> <00C5> <0002> <006B0061> endbfchar 1 beginbfrange <0010> <0012> <0041> endbfrange"),
+    )
+    assert read_pages(plain) == ["Norsk 1, emne 1\nInnhold og (mål)", "Åka\nA"]
+    inner = b"1 0 2 34 << /Type /Catalog /Pages 2 0 R >> "
+    first = inner.index(b"<<")
+    body = inner[first:] + b"<< /Type /Pages /Kids [4 0 R] >>"
+    table = b"1 0 2 %d " % len(inner[first:])
+    packed = _pdf(b"null", b"null", _stream(table + body, b"/Type /ObjStm /N 2 /First %d" % len(table)), b"<< /Type /Page /Contents 5 0 R >>", _stream(b"BT (tett) Tj ET"))
+    packed = packed.replace(b"1 0 obj\nnull\nendobj\n", b"").replace(b"2 0 obj\nnull\nendobj\n", b"")
+    assert read_pages(packed) == ["tett"]
+    assert read_pages(b"no document") == []
+    with pytest.raises(ValueError):
+        read_pages(b"%PDF /Encrypt")
+
+
+def test_rendered_text(spark):
+    inner = "<h1>Plan</h1><div>En <b>to</b><br>tre</div><x-y><template shadowrootmode=open><p>inni</p></template>etter</x-y>"
+    page = f"<usn-study><template shadowrootmode=open><usn-study-subject><template shadowrootmode=open>{inner}</template></usn-study-subject></template></usn-study>"
+    rows = spark.createDataFrame([(page,), ("<usn-study>x</usn-study>",), (None,)], "h string")
+    assert [r[0] for r in rows.select(rendered_text(F.col("h"))).collect()] == ["Plan\nEn to\ntre\ninni\netter", None, None]
