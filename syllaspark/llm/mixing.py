@@ -12,7 +12,8 @@ orders a whole source, and no text moves.
 
 Rows: one output row per input row, also where nothing of a document is taken.  A
 null source is a source of its own.  A null or empty text has no tokens; rows of
-equal id are taken or left together.  An empty table gives an empty result.
+equal id are taken or left together, and so are the rows of a source without an id.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

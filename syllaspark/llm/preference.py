@@ -7,8 +7,10 @@ words as its mask.
 Rows: one output row per pair of which either conversation has a turn.  A missing
 conversation has no turns: nothing is shared and its completion is empty.  A null
 role is ``unknown``, a null text empty.  Turns are ordered by number, role and text,
-a null number first; a repeated row is a turn of its own.  Other columns are not
-read.
+a null number first; a repeated row is a turn of its own.  Rows with a null
+conversation id belong to no pair and are left out.  A conversation is one value of
+the result, so its turns meet in one row, however many they are.  Other columns are
+not read.
 """
 
 from __future__ import annotations

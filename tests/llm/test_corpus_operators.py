@@ -310,6 +310,18 @@ def test_mixing(spark):
     assert {x["copies"] for x in mixing.mixture(frame.where("text is null")).collect()} == {0}
 
 
+def test_mixing_of_rows_without_an_id(spark):
+    rows = [(None, "a b c", "x"), (None, "d", "x"), (1, "e f", "x"), (None, "g", None), (2, "h " * 40, "y"), (2, "h " * 40, "y")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixture(frame).collect()
+    copies = defaultdict(set)
+    for x in got:
+        copies[x["doc_id"], x["source"]].add(x["copies"])
+    assert len(got) == len(rows) and all(len(c) == 1 for c in copies.values())
+    covering = Counter((x["doc_id"], x["source"]) for x in mixing.mixed(frame).collect())
+    assert set(covering) == {(k, s) for k, _, s in rows}
+
+
 def test_mixture_that_covers_drops_nothing(spark):
     rows, frame = _sources(spark, 2)
     out = mixing.mixed(frame)
