@@ -254,10 +254,13 @@ def _contents(window: int, shards: int):
                 part, single = (_held(s, rows[on] - first, keys[on]) for rows, keys in lists for on in [slice(*np.searchsorted(rows, [first, last]))])
                 split = np.repeat(single, s.many[single])
                 at = _runs(np.zeros(len(single), np.int64), s.many[single])
-                grams = chained(s.each, window)
-                begin = np.append(s.win[part], s.win[split] + at)
+                lone = s.win[split] + at
+                whole = s.each[lone] * U(3)  # as chained() does, of these windows alone
+                for j in range(1, window):
+                    whole = mix(whole + s.each[lone + j], j)
+                begin = np.append(s.win[part], lone)
                 many = np.append(s.many[part], np.ones(len(split), np.int64))
-                shard = np.append(s.anchor[part], grams[s.win[split] + at]) % U(shards)
+                shard = np.append(s.anchor[part], whole) % U(shards)
                 rows = np.append(part, split)
                 size = many + window - 1
                 flat = s.each[_runs(begin, size)]
