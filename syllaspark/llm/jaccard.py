@@ -37,6 +37,8 @@ from .arrays import SLICE_BYTES, U, chained, mix, slices, span_hashes, tidy, wor
 from .components import connected_components
 
 GROUPS = 256
+#: Groups of the second, finer bound that pairs pass before their elements move.
+FINE = 4096
 #: Sets of one key that a task joins at most on either side, where a component is too large for one task.
 PAGE = 1024
 #: Further rounds of stars for keys of more sets than a page, before what is apart is compared in full.
@@ -45,6 +47,8 @@ THINNING = 1
 BROADCAST_IDS = 300_000
 #: Sets, and elements of all of them, of a candidate component that one task takes whole.
 SMALL, ELEMENTS = 4096, 4_000_000
+#: Pairs that a task remembers, so as to name them once: a matter of volume, not of results.
+TOLD = 500_000
 #: (key, set) entries that a map task combines before it sends them on.
 BUFFER = 250_000
 
@@ -254,21 +258,23 @@ def links(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 #: A group's count from here on is kept as this, and reads as more than any set has.
-MOST = 65_535
+MOST = 255
 
 
 def to_point(counts: np.ndarray) -> bytes:
-    return np.minimum(counts, MOST).astype("<u2").tobytes()
+    return np.minimum(counts, MOST).astype(np.uint8).tobytes()
 
 
-def from_points(raw: list[bytes]) -> np.ndarray:
-    points = np.frombuffer(b"".join(raw), "<u2").reshape(-1, GROUPS).astype(np.float32)
+def from_points(raw: list[bytes], groups: int = GROUPS) -> np.ndarray:
+    points = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, groups).astype(np.float32)
     points[points == MOST] = np.inf
     return points
 
 
-def counted(sets: list[np.ndarray]) -> np.ndarray:
-    return np.array([np.bincount((s >> U(56)).astype(np.int64), minlength=GROUPS) for s in sets], np.int64).reshape(-1, GROUPS)
+def counted(sets: list[np.ndarray], groups: int = GROUPS) -> np.ndarray:
+    """Group counts of each set; ``groups`` is a power of two."""
+    shift = U(65 - groups.bit_length())
+    return np.array([np.bincount((s >> shift).astype(np.int64), minlength=groups) for s in sets], np.int64).reshape(-1, groups)
 
 
 def near_points(left, right, sizes_left, sizes_right, labels_left, labels_right, num: int, den: int):
@@ -400,36 +406,63 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     """(node, class) in components of more sets than a page."""
     sets = sets.select("node", "elements")
 
-    def to_points(batches):
-        for batch in batches:
-            found = [np.frombuffer(x.as_py(), U) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([to_point(row) for row in counted(found)], pa.binary())], names=["node", "n", "point"])
+    def to_points(groups):
+        def run(batches):
+            for batch in batches:
+                for first in range(0, batch.num_rows, 256):
+                    part = batch.slice(first, 256)
+                    found = [np.frombuffer(x.as_py(), U) for x in part.column(1)]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([to_point(row) for row in counted(found, groups)], pa.binary())], names=["node", "n", "point"])
 
-    sizes = scratch.save(sets.select("node", (F.octet_length("elements") / 8).cast("long").alias("n")), "set-sizes")
-    points = scratch.save(sets.mapInArrow(tidy(to_points), "node long, n long, point binary"), "points")
+        return tidy(run)
 
-    def bounded(batches):
-        for batch in batches:
-            x, y = (from_points(batch.column(k).to_pylist()) for k in (3, 5))
-            n = np.array(batch.column(2)) + np.array(batch.column(4))
-            ok = (num + den) * np.minimum(x, y).sum(axis=1, dtype=np.float64) >= num * n
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
+    made = lambda groups: scratch.save(sets.mapInArrow(to_points(groups), "node long, n long, point binary"), "points")
+    points, fine = made(GROUPS), made(FINE)
+
+    def bounded(groups):
+        def run(batches):
+            for batch in batches:
+                for first in range(0, batch.num_rows, 256):
+                    part = batch.slice(first, 256)
+                    a, b = (np.array(part.column(k), np.int64) for k in (2, 4))
+                    x, y = (from_points(part.column(k).to_pylist(), groups) for k in (3, 5))
+                    ok = (np.minimum(a, b) * den >= np.maximum(a, b) * num) & ((num + den) * np.minimum(x, y).sum(axis=1, dtype=np.float64) >= num * (a + b))
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(ok))
+
+        return tidy(run)
 
     def verify(batches):
+        centre = None
         for batch in batches:
-            own = lambda k, i: np.frombuffer(batch.column(k)[i].as_buffer(), U)  # noqa: B023, E731
-            ok = [links(own(2, i), own(3, i), num, den) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            kind, node, at = (batch.column(k).to_pylist() for k in (1, 2, 0))
+            found = []
+            for i in range(batch.num_rows):
+                own = np.frombuffer(batch.column(3)[i].as_buffer(), U)
+                if not kind[i]:
+                    centre = own.copy()
+                elif links(own, centre, num, den):
+                    found.append((node[i], at[i]))
+            yield _pairs(found, ("a", "b"))
+
+    def both(pairs, table, columns):
+        """Pairs with what the table has of either end: it is read once, and only what pairs name moves, once."""
+        ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
+        ends = F.broadcast(ends) if pairs.count() <= BROADCAST_IDS else ends
+        side = lambda s, c: F.first(F.when(F.col("node") == F.col(s), F.col(c)), ignorenulls=True).alias(f"{c}_{s}")
+        return table.join(ends, "node").groupBy("a", "b").agg(*[side(s, c) for s in "ab" for c in columns])
 
     def connect(marked, pairs):
-        """``marked`` after the links among the pairs.  Points meet only if sizes allow it, and sets if points do."""
-        named = lambda table, n, c: table.select(F.col("node").alias(n), F.col(c).alias(f"{c}_{n}"))
-        met = pairs.join(named(sizes, "a", "n"), "a").join(named(sizes, "b", "n"), "b")
-        met = scratch.save(met.where((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)), "sized")
-        met = met.join(named(points, "a", "point"), "a").join(named(points, "b", "point"), "b")
-        met = scratch.save(met.select("a", "b", "n_a", "point_a", "n_b", "point_b").mapInArrow(tidy(bounded), "a long, b long"), "bounded")
-        met = met.join(named(sets, "a", "elements"), "a").join(named(sets, "b", "elements"), "b")
-        found = scratch.save(met.select("a", "b", "elements_a", "elements_b").mapInArrow(tidy(verify), "a long, b long"), "links")
+        """``marked`` after the links among the pairs.  Sets meet only if their sizes and points allow it."""
+        near = scratch.save(both(pairs, points, ["n", "point"]).mapInArrow(bounded(GROUPS), "a long, b long"), "bounded")
+        near = scratch.save(both(near, fine, ["n", "point"]).mapInArrow(bounded(FINE), "a long, b long"), "bounded")
+        # a set moves once to the set that it is compared with, and that one once for each thousand
+        shares = near.groupBy("b").agg(F.ceil(F.count("*") / 1000).alias("shares"))
+        centres = shares.select(F.col("b").alias("at"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"), F.col("b").alias("node"))
+        others = near.join(shares, "b").select(F.col("b").alias("at"), F.pmod(F.xxhash64("a"), "shares").alias("share"), F.lit(1).alias("kind"), F.col("a").alias("node"))
+        asked = scratch.save(centres.unionByName(others), "asked")
+        asked = F.broadcast(asked) if asked.count() <= 2 * BROADCAST_IDS else asked
+        rows = sets.join(asked, "node").repartition(tasks, "at", "share").sortWithinPartitions("at", "share", "kind")
+        found = scratch.save(rows.select("at", "kind", "node", "elements").mapInArrow(tidy(verify), "a long, b long").distinct(), "links")
         return _relabelled(marked, found, scratch)
 
     stars = scratch.save(edges.join(nodes.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b", "key"), "stars")
@@ -444,12 +477,15 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     wanted = wanted.join(stars.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key", "left_semi")
     stars = scratch.save(stars.join(scratch.save(wanted, "wanted"), "key", "left_semi"), "open-stars")
     held_by = scratch.save(stars.select("key", F.col("a").alias("node")).unionByName(stars.select("key", F.col("b").alias("node"))).distinct(), "held-by")
+    # keys that the same sets hold count once
+    same = held_by.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.count("*").alias("n"))
+    once = scratch.save(same.groupBy("x", "y", "n").agg(F.min("key").alias("key")).select("key"), "once")
     for turn in range(THINNING + 1):
         labelled = scratch.save(held_by.join(marked, "node"), "labelled")
         some = F.min(F.struct(F.xxhash64("node", F.lit(turn), F.pmod("key", F.lit(4))).alias("h"), "node"))
         counts = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), some.alias("some"))
         top = F.max(F.struct("n", "label", "some"))
-        groups = scratch.save(counts.groupBy("key").agg(top.alias("top"), F.sum("n").alias("n"), F.count("*").alias("labels")).where("labels > 1").select("key", "n", F.col("top.label").alias("major"), F.col("top.n").alias("most"), F.col("top.some.node").alias("b")), "groups")
+        groups = scratch.save(counts.groupBy("key").agg(top.alias("top"), F.sum("n").alias("n"), F.count("*").alias("labels")).where("labels > 1").select("key", "n", F.col("top.label").alias("major"), F.col("top.n").alias("most"), F.col("top.some.node").alias("b")).join(once, "key", "left_semi"), "groups")
         large = groups.where(F.col("n") > PAGE)
         if turn == THINNING or not large.limit(1).collect():
             break
@@ -474,6 +510,7 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
     dealt = paged.select("key", "node", "label", "n", "point", F.explode(to).alias("t")).select(F.concat_ws(":", "key", "t.i", F.col("t.m").cast("string"), "t.j").alias("pair"), "t.side", (~F.col("t.m") & (F.col("t.i") == F.col("t.j"))).alias("own"), "node", "label", "n", "point")
 
     def join(batches):
+        told: set[tuple[int, int]] = set()  # pairs of this task, which other keys may name again
         for _, rows in _by_key(batches, "pair"):
             sides = [[r for r in rows if r["side"] == k] for k in (0, 1)]
             grids = [from_points([r["point"] for r in side]) for side in sides]
@@ -484,7 +521,10 @@ def _large(nodes, sets, edges, scratch, num, den, tasks) -> DataFrame:
                 continue
             else:
                 near = near_points(grids[0], grids[1], sizes[0], sizes[1], label[0], label[1], num, den)
-            yield _pairs([(min(x, y), max(x, y)) for i, at in near for x, y in ((sides[0][i]["node"], sides[1][j]["node"]) for j in at.tolist())], ("a", "b"))
+            own = {(min(x, y), max(x, y)) for i, at in near for x, y in ((sides[0][i]["node"], sides[1][j]["node"]) for j in at.tolist())} - told
+            if len(told) < TOLD:
+                told |= own
+            yield _pairs(list(own), ("a", "b"))
 
     near = dealt.repartition(tasks, "pair").sortWithinPartitions("pair").mapInArrow(tidy(join), "a long, b long").distinct()
     return connect(marked, scratch.save(near, "near")).select("node", F.col("label").alias("class"))
