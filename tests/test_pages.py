@@ -63,6 +63,13 @@ def test_text(html, want):
     assert text_of(parse(html)) == want
 
 
+def test_references_end_in_a_semicolon():
+    page = parse("<h1 title='?a=1&copy=2&amp;b'>a &amp&amp; b&ampx; c&nbsp d &#229; &copyright; &amp</h1><script>x &amp&y</script>")
+    h1 = Selector("h1").first(page)
+    assert text_of(h1) == "a &amp& b&ampx; c&nbsp d å &copyright; &amp" and h1.attrs == {"title": "?a=1&copy=2&b"}
+    assert Selector("script").first(page).raw_text() == "x &amp&y"
+
+
 def test_nested_matches_repeat_their_text():
     assert select_text("<div class=a>x<div class=a>y</div></div>", Selector(".a"), "multi") == "x\ny\ny"
 
