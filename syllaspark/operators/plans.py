@@ -60,12 +60,12 @@ def plan_versions(courses: DataFrame, tie: str = "course_id") -> DataFrame:
         F.min(YEAR).alias("year_from"),
         F.max(YEAR).alias("year_to"),
         F.count("plan_content_id").alias("semesters"),  # none where there is no plan; see plan_lookup
-        F.min_by(F.struct("extracted_text", "course_plan_normalized"), order).alias("_first"),
+        *[F.min_by(c, order).alias(c) for c in ("extracted_text", "course_plan_normalized")],  # each alone, so that one that nothing reads isn't moved
     ).where("semesters > 0")
     number = F.row_number().over(Window.partitionBy("institution_short", RAW).orderBy("year_from", "year_to", "plan_content_id"))
     years = F.when(F.col("year_from") == F.col("year_to"), F.col("year_from").cast("string")).otherwise(F.concat_ws("-", F.col("year_from").cast("string"), F.col("year_to").cast("string")))
     out = out.withColumn("number", number).withColumn("label", F.concat(F.lit("V"), F.col("number").cast("string"), F.lit(" ("), years, F.lit(")")))
-    return out.select("institution_short", RAW, "number", "label", "plan_content_id", F.substring("plan_content_id", 1, 8).alias("hash_short"), "year_from", "year_to", "semesters", F.col("_first.extracted_text").alias("extracted_text"), F.col("_first.course_plan_normalized").alias("course_plan_normalized"))
+    return out.select("institution_short", RAW, "number", "label", "plan_content_id", F.substring("plan_content_id", 1, 8).alias("hash_short"), "year_from", "year_to", "semesters", "extracted_text", "course_plan_normalized")
 
 
 def version_pairs(versions: DataFrame, text: str = "course_plan_normalized") -> DataFrame:

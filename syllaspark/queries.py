@@ -17,7 +17,7 @@ from .operators import columns, filters, joins, plans, reports, sets
 from .plans.registry import INSTITUTIONS, dimension
 from .plans.views import courses, planned, table
 from .schema import CODE, RAW, SEASON, YEAR
-from .session import spread
+from .session import ship, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -355,8 +355,9 @@ def page_status(spark, folder):
 
 @query()
 def text_diff(spark, folder):
+    ship(spark)  # for its small Arrow batches
     pairs = plans.version_pairs(plans.plan_versions(planned(spark, folder), "doc_id"), "extracted_text")
-    return pairs.select("institution_short", RAW, "number", unified(diff(F.col("old_text"), F.col("new_text"))).alias("changes"))
+    return pairs.select("institution_short", RAW, "number", unified(diff(F.col("old_text"), F.col("new_text"), words=False)).alias("changes"))
 
 
 # --- recorded pages, as inline rows ---

@@ -1,8 +1,9 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from syllaspark.functions import text
-from syllaspark.functions.diff import compare, diff
+from syllaspark.functions.diff import HELD_CHARS, compare, diff, in_parts
 from syllaspark.operators import plans, reports
 from syllaspark.schema import CODE, RAW, SEASON, YEAR
 
@@ -76,3 +77,16 @@ def test_diff(spark):
     rows = spark.createDataFrame([("En. To.", "En. Tre."), ("Lik.", "Lik."), (None, "x")], "a string, b string")
     out = [r[0] for r in rows.select(diff(F.col("a"), F.col("b"))).collect()]
     assert [o["op"] for o in out[0]] == ["same", "changed"] and out[1] == [] and out[2] is None
+
+
+def test_differences_of_a_batch_in_parts(spark):
+    lines = [f"line {k}." for k in range(HELD_CHARS // 20)]  # two such texts, less one line, are more than a part
+    old, new = pd.Series([lines, None, ["a"], lines, ["a"], ["a"]]), pd.Series([lines[1:], ["a"], ["b"], lines[1:], None, ["a"]])
+    parts = list(in_parts(iter([(old, new)]), 3, True))
+    assert [len(p) for p in parts] == [1, 3, 2]
+    assert [x for p in parts for x in p] == [None if x is None or y is None else compare(x, y) for x, y in zip(old, new)]
+    rows = spark.createDataFrame([("\n".join(lines) if k % 3 else "En.", f"To {k}.") for k in range(20)], "a string, b string").coalesce(1)
+    got = rows.select("a", "b", diff(F.col("a"), F.col("b")).alias("all"), diff(F.col("a"), F.col("b"), words=False).alias("lines")).collect()
+    assert all(r["b"] in [o["new"] for o in r["all"]] for r in got)
+    assert all([o["words"] for o in r["lines"]] == [None] * len(r["lines"]) and r["all"][0]["words"] for r in got)
+    assert all([o[:3] for o in r["all"]] == [o[:3] for o in r["lines"]] for r in got)

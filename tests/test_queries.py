@@ -58,3 +58,8 @@ def test_every_text_counts_without_a_twin(spark, tmp_path):
     cleaned = {x["doc_id"]: x["course_plan"] for x in base.anonymize_institutions(spark, str(tmp_path)).collect()}
     assert {k for k, t in cleaned.items() if t} == {1, 9, 18} and cleaned[27] is None
     assert [(x["institution_short"], x["number"]) for x in base.text_diff(spark, str(tmp_path)).collect()] == [("en", 2)]
+
+
+def test_text_diff_moves_what_it_reads(spark):
+    plan = base.text_diff(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("min_by(extracted_text") == 1 and "min_by(course_plan_normalized" not in plan
