@@ -8,6 +8,8 @@ whose sets overlap by a given Jaccard share, the components that the links form.
    some range that isn't empty holds the same elements of both.  Sets that agree on
    a range are candidates; stars over them, not pairs, give candidate components.
    This loses no link, and unrelated texts hardly ever agree on a whole range.
+   Sets leave out some ranges, first those of shingles that very many texts share, such as
+   lines of licenses: a list of them, counted over the whole table, only ranks ranges.
 2. Trees.  In each candidate component, elements are hashed into groups and the
    group counts of every set are a point.  An R-tree over the points bounds the
    overlap of a query with all of a node's sets by the summed minima of the query
@@ -47,6 +49,9 @@ THINNING = 1
 BROADCAST_IDS = 300_000
 #: Sets, and elements of all of them, of a candidate component that one task takes whole.
 SMALL, ELEMENTS = 4096, 4_000_000
+#: Shingles that rank ranges as common ones: those that a task meets ``LOCAL`` times among ``COUNTED`` shingles, and all
+#: tasks ``SHARED`` times, up to so many, the most frequent first.  Which these are is a matter of volume, not of results.
+COMMON, LOCAL, SHARED, COUNTED = 65_536, 3, 12, 2_000_000
 #: Pairs that a task remembers, so as to name them once: a matter of volume, not of results.
 TOLD = 500_000
 #: (key, set) entries that a map task combines before it sends them on.
@@ -73,8 +78,9 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, width: int) -> list[np.ndarr
 class Ranges:
     """Size classes, and the ranges of hash space whose contents are a set's keys."""
 
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
+    def __init__(self, num: int, den: int, common: np.ndarray | None = None):
+        """``common``: sorted elements that count for little where ranges are chosen."""
+        self.num, self.den, self.common = num, den, common
         self.upper: list[int] = []
         self.cache: dict[int, np.ndarray] = {}
 
@@ -106,20 +112,27 @@ class Ranges:
 
         A class's smaller sets differ in less, so a set takes only as many of the
         ranges as its own size asks.  Two sets that link agree on more ranges than are
-        to spare.  Each leaves out its ranges of few elements, no more than are to spare;
-        the set that leaves out the richer ones still has a range that agrees, and the
+        to spare.  Each leaves out its poorest ranges, of few elements that aren't common and
+        then of few elements, no more than are to spare; as what a range holds tells how poor
+        it is, the set that leaves out the richer ones still has a range that agrees, and the
         other, which leaves out poorer ones only, has it too.
         """
         n, out = len(own), []
         c = home = self.class_of(n)
         sums = np.append(U(0), np.cumsum(mix(own, 1)))
+        rare = np.arange(n + 1)
+        if self.common is not None and len(self.common):
+            place = np.searchsorted(self.common, own)
+            place[place == len(self.common)] = 0
+            rare = np.append(0, np.cumsum(self.common[place] != own))
         while c >= 0 and (c == home or self.upper[c] * self.den >= self.num * n):
             k, spare = self.parts(c), self.spare(c)
             m = min(k, self.differ(n) + 1 + spare) if c == home else k
             at = np.concatenate([[0], np.searchsorted(own, self._cuts(k)[: m if m < k else k - 1]), [n] if m == k else []]).astype(np.int64)[: m + 1]
             total, held = sums[at[1:]] - sums[at[:-1]], np.diff(at)
             key = mix(total + np.arange(m, dtype=U) * U(0xD6E8FEB86659FD93), c + 2)
-            out.append(key[held >= np.partition(held, spare)[spare]])
+            rich = (rare[at[1:]] - rare[at[:-1]] << 31) + held
+            out.append(key[rich >= np.partition(rich, spare)[spare]])
             c -= 1
         return np.concatenate(out)
 
@@ -140,7 +153,39 @@ def _centred(keys: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[new], centre[new], np.column_stack([sets[edge], centre[edge], keys[edge]])
 
 
-def _send(width: int, num: int, den: int, buckets: int):
+def _frequent(width: int):
+    """(element, n) of the shingles that many of a task's texts hold."""
+
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            element, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(element[n >= LOCAL].view(np.int64)), pa.array(n[n >= LOCAL].astype(np.int64))], names=["element", "n"])
+
+        for batch in batches:
+            for _, _, buf, offs in slices(batch.column(0), SLICE_BYTES):
+                for s in shingle_sets(buf, offs, width):
+                    held.append(s)
+                    size += len(s)
+                if size >= COUNTED:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def common_shingles(texts: DataFrame, width: int) -> np.ndarray:
+    """The sorted hashes of shingles that very many of all the texts share."""
+    found = texts.mapInArrow(tidy(_frequent(width)), "element long, n long").groupBy("element").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED)
+    top = found.orderBy(F.desc("n"), "element").limit(COMMON).select("element").collect()
+    return np.sort(np.array([r[0] for r in top], np.int64).view(U))
+
+
+def _send(width: int, num: int, den: int, buckets: int, common: np.ndarray | None = None):
     """Map side: (bucket, kind, payload) with keys (0), edges (1) and documents (2)."""
 
     def rows(kind: int, bucket: np.ndarray, columns: list[np.ndarray]):
@@ -151,7 +196,7 @@ def _send(width: int, num: int, den: int, buckets: int):
         return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]].astype(np.int64)), pa.array(np.full(len(payload), kind, np.int32)), pa.array(payload, pa.binary())], names=["bucket", "kind", "payload"])
 
     def run(batches):
-        ranges, held, docs, size = Ranges(num, den), [], [], 0
+        ranges, held, docs, size = Ranges(num, den, common), [], [], 0
 
         def flush():
             keys, sets = np.concatenate([k for k, _ in held]), np.concatenate([np.full(len(k), s, U) for k, s in held])
@@ -360,7 +405,8 @@ def near_groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     plain = docs.where(docs[id_col].isNotNull()).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     tasks = tasks_for(docs, 6 << 20)
     buckets = 1 << max(8, (4 * tasks - 1).bit_length())
-    sent = spread(plain).mapInArrow(tidy(_send(width, num, den, buckets)), "bucket long, kind int, payload binary")
+    common = common_shingles(spread(plain).select("text"), width)
+    sent = spread(plain).mapInArrow(tidy(_send(width, num, den, buckets, common)), "bucket long, kind int, payload binary")
     got = scratch.save(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_receive), "kind int, a long, b long, c long"), "shards")
     members = got.where("kind = 2").select(F.col("a").alias("id"), F.col("b").alias("n"), F.col("c").alias("node"))
     edges = got.where("kind = 1").select("a", "b", F.col("c").alias("key"))

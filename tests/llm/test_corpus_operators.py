@@ -95,6 +95,30 @@ def test_keys_of_linked_sets_meet():
             assert np.intersect1d(ranges.keys(a), ranges.keys(b)).size
 
 
+def test_shared_lines_make_few_candidates(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    new = lambda n: np.unique(r.integers(0, 2**64 - 1, n, dtype=np.uint64))
+    line = new(40)
+    plain, ranked = jaccard.Ranges(80, 100), jaccard.Ranges(80, 100, line)
+    sets = [np.unique(np.concatenate([new(int(r.integers(60, 200))), line])) for _ in range(60)]
+    meet = lambda ranges: sum(np.intersect1d(ranges.keys(a), ranges.keys(b)).size > 0 for i, a in enumerate(sets) for b in sets[:i])
+    assert meet(ranked) < meet(plain) / 4
+    met = 0
+    for s in [*sets, *[x[: int(r.integers(1, 30))] for x in sets], line]:  # no link is lost, whatever is common
+        for ranges in (ranked, jaccard.Ranges(80, 100, np.sort(s[::2]))):
+            change = int(r.integers(0, len(s) // 5 + 1))
+            other = np.unique(np.concatenate([s[change // 2 :], new(change - change // 2)]))
+            if jaccard.links(s, other, 80, 100):
+                met += 1
+                assert np.intersect1d(ranges.keys(s), ranges.keys(other)).size
+    assert met > 100
+    texts = spark.createDataFrame([(f"a{k} b c d e f{k}",) for k in range(20)] + [(None,), ("",), ("b c d e",)] * 7, "text string").coalesce(1)
+    held = lambda t: jaccard.shingle_sets(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 3)[0].tolist()
+    assert jaccard.common_shingles(texts, 3).tolist() == held("b c d e")
+    monkeypatch.setattr(jaccard, "COMMON", 1)
+    assert len(jaccard.common_shingles(texts, 3)) == 1 and len(jaccard.common_shingles(texts.where("false"), 3)) == 0
+
+
 def test_tree_bounds_never_lose_a_link():
     r = np.random.default_rng(6)
     sets = [np.unique(r.integers(0, 2**63, int(n)).astype(np.uint64)) for n in r.integers(1, 200, 60)]
